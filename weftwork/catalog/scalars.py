@@ -231,8 +231,8 @@ WITH s AS (
   FROM documents),
 p AS (
   SELECT doc_id, len(sentences) AS n, list_sum(list_transform(sentences, lambda x: greatest(0, least(4,
-    2 + len(regexp_extract_all(x, '{_LIST.positive_pattern}'))
-      - len(regexp_extract_all(x, '{_LIST.negative_pattern}')))))) AS total
+    2 + len(list_filter(regexp_split_to_array(x, '[^\\p{{L}}\\p{{N}}]+'), lambda w: w IN {_LIST.positive}))
+      - len(list_filter(regexp_split_to_array(x, '[^\\p{{L}}\\p{{N}}]+'), lambda w: w IN {_LIST.negative})))))) AS total
   FROM s),
 r AS (SELECT doc_id, CASE WHEN n > 0 THEN total / n ELSE -1 END AS score FROM p)
 SELECT doc_id, round(score, 6) AS score, CASE

@@ -14,18 +14,6 @@ class Lexicon:
     positive: Sequence[str]
     negative: Sequence[str]
 
-    @staticmethod
-    def _pattern(words: Sequence[str]) -> str:
-        return "\\b(?:" + "|".join(words) + ")\\b"
-
-    @property
-    def positive_pattern(self) -> str:
-        return self._pattern(self.positive)
-
-    @property
-    def negative_pattern(self) -> str:
-        return self._pattern(self.negative)
-
 
 # A short general English list.
 ENGLISH = Lexicon(
@@ -55,8 +43,9 @@ def text_score(text: str | Column, lexicon: Lexicon = ENGLISH) -> Column:
     sentences = F.filter(F.split(F.lower(text), "[.!?\\n]+"), lambda s: F.trim(s) != "")
 
     def score(sentence: Column) -> Column:
-        up = F.regexp_count(sentence, F.lit(lexicon.positive_pattern))
-        down = F.regexp_count(sentence, F.lit(lexicon.negative_pattern))
+        words = F.split(sentence, "[^\\p{L}\\p{N}]+")
+        up = F.size(F.filter(words, lambda w: w.isin(list(lexicon.positive))))
+        down = F.size(F.filter(words, lambda w: w.isin(list(lexicon.negative))))
         return F.greatest(F.lit(0), F.least(F.lit(4), F.lit(2) + up - down))
 
     total = F.aggregate(F.transform(sentences, score), F.lit(0), lambda a, x: a + x)
