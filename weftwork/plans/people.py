@@ -38,13 +38,23 @@ def current_titles(titles: DataFrame, key: str, title: list[str], order: list[st
     return latest_row(titles, [key], title, order)
 
 
-def pay_by_department(
-    spark, hires: str, pay: str, memberships: str, key: str, department: str, amount: str,
-    date: str, after: str, before: str,
-) -> DataFrame:
-    """Mean pay by department of those hired in a range, over registered views, as plain SQL."""
-    return spark.sql(f"""
-        SELECT {department}, avg({amount}) AS mean_amount
+def pay_by_department(hires: DataFrame, memberships: DataFrame, pay: DataFrame, after: str, before: str) -> DataFrame:
+    """Mean pay by department of those hired in a range.
+
+    Written as a comma list with WHERE over (key, hired), (key, department) and (key, amount).
+    """
+    return hires.sparkSession.sql(
+        """
+        SELECT m.department,
+               CAST(sum(CAST(p.amount AS DECIMAL(28, 2))) AS DOUBLE) / count(p.amount) AS mean_amount
         FROM {hires} h, {memberships} m, {pay} p
-        WHERE h.{key} = m.{key} AND h.{key} = p.{key} AND h.{date} > '{after}' AND h.{date} < '{before}'
-        GROUP BY {department}""")
+        WHERE h.key = m.key AND h.key = p.key AND h.hired > :after AND h.hired < :before
+        GROUP BY m.department""",
+        args={"after": after, "before": before}, hires=hires, memberships=memberships, pay=pay,
+    )
+
+
+def best_department(by_department: DataFrame, departments: DataFrame) -> DataFrame:
+    """Name and mean pay of the best-paying department; ``departments`` has (department, name)."""
+    best = by_department.orderBy(F.desc("mean_amount"), "department").limit(1)
+    return departments.join(F.broadcast(best), "department").select("name", "mean_amount")

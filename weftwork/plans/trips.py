@@ -17,9 +17,13 @@ from weftwork.operators.joins import double_lookup
 TOTAL = "total_trips"
 
 
-def by_zone(trips: DataFrame, pickup: str, zones: DataFrame, zone_id: str) -> DataFrame:
-    """Pickups per zone, most first. Trips are counted before the zones are joined."""
-    counts = count_groups(trips, pickup, name=TOTAL)
+def by_zone(trips: DataFrame, pickup: str, zones: DataFrame, zone_id: str, weight: str | None = None) -> DataFrame:
+    """Pickups per zone, most first. Trips are counted before the zones are joined.
+
+    With ``weight`` the trips come counted already, that many for each row.
+    """
+    total = F.count("*") if weight is None else F.sum(weight)
+    counts = trips.groupBy(pickup).agg(total.alias(TOTAL))
     return counts.join(zones, counts[pickup] == zones[zone_id]).drop(zone_id).orderBy(F.col(TOTAL).desc_nulls_last())
 
 

@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def layout(ddl: str) -> T.StructType:
-    """A schema from a DDL string; every field may be null."""
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(), "longs": T.ArrayType(T.LongType()),
+}
+
+
+def layout(text: str) -> T.StructType:
+    """A schema from ``name type`` pairs, without a session; every field may be null."""
+    pairs = (field.split() for field in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 CAR = layout(
@@ -29,7 +36,7 @@ GUITAR_SALE = layout(
 )
 FLIGHT_SUMMARY = layout("DEST_COUNTRY_NAME string, ORIGIN_COUNTRY_NAME string, count int")
 BAND = layout("id long, name string, hometown string, year long")
-PLAYER = layout("id long, name string, guitars array<long>, band long")
+PLAYER = layout("id long, name string, guitars longs, band long")
 INSTRUMENT = layout("id long, model string, make string, guitarType string")
 TAXI_ZONE = layout("LocationID int, Borough string, Zone string, service_zone string")
 EXAM_ID = layout("id long, name string")
