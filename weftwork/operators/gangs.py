@@ -86,7 +86,7 @@ def _large_cases_of(triples: DataFrame, large: DataFrame) -> DataFrame:
     probe = triples
     for name in TRIPLE:
         probe = probe.join(degree.select(F.col("member").alias(name), F.col("d").alias(f"d_{name}")), name)
-    fewest = F.least(*[F.struct(f"d_{name}", F.col(name).alias("member")) for name in TRIPLE])
+    fewest = F.least(*[F.struct(F.col(f"d_{name}").alias("d"), F.col(name).alias("member")) for name in TRIPLE])
     rows = probe.select(*TRIPLE, fewest["member"].alias("member")).join(large, "member").select("case", *TRIPLE)
     for name in TRIPLE:
         rows = rows.join(large.select("case", F.col("member").alias(name)), ["case", name], "left_semi")
