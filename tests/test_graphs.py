@@ -149,7 +149,7 @@ def test_gangs_golden(spark):
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.dictionaries(st.integers(0, 9), st.sets(st.integers(0, 8), max_size=8), min_size=3, max_size=9),
-    st.sampled_from([2, 4, 100]), st.sampled_from([1, 2, 3]),
+    st.sampled_from([None, 2, 4, 100]), st.sampled_from([1, 2, 3]),
 )
 def test_gangs_like_brute_force(spark, cases, light, least):
     """With a low limit for light cases, most of the work is on the side of the large ones."""
@@ -169,6 +169,17 @@ def test_gangs_with_hot_case(spark):
     assert {tuple(r) for r in found} == {(2, 4, 6, c) for c in (0, 1, 2, 3)}
 
 
+def test_size_limit_splits_off_the_hot_case(spark):
+    """A case with most members is large; a member in most cases does not make its cases large."""
+    hot_case = [(m, 1000) for m in range(1000)] + [(m % 1000, 4) for m in range(400)]
+    table = spark.createDataFrame(hot_case, "member long, size long")
+    assert gangs.size_limit(table) < 1000
+    hot_member = [(0, 4) for _ in range(5000)] + [(m, 4) for m in range(15000)]
+    assert gangs.size_limit(spark.createDataFrame(hot_member, "member long, size long")) == 4
+    found = gangs.shared_triples(links_table(spark, {0: range(400), 1: range(0, 400, 2), 2: [2, 4, 6], 3: [2, 4, 6]}), 4)
+    assert {tuple(r) for r in found.collect()} == {(2, 4, 6, c) for c in range(4)}
+
+
 def test_report_in_parts(spark):
     rows = spark.createDataFrame([(1, 1, 2, 3, c) for c in range(50)], "member long, m1 long, m2 long, m3 long, case long")
     lines = gangs.gang_report(rows, max_cases=10).collect()

@@ -126,10 +126,12 @@ def test_partition_and_bucket_pruning(spark, small):
         spark.read.parquet(f"{small}/orders.parquet"), f"p{tag}", 4, ["o_custkey"],
         partition_by=["o_orderstatus"], path=session.scratch_path(spark, "p"),
     )
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
     pruned = table.where("o_orderstatus = 'F' AND o_custkey = 7").select("o_orderkey")
     shown = pruned._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
     assert "SelectedBucketsCount: 1 out of 4" in shown
     assert "PartitionFilters: [isnotnull(o_orderstatus" in shown
 

@@ -239,7 +239,7 @@ SELECT day, item, CAST(total AS DOUBLE) AS total FROM (
   SELECT *, row_number() OVER (PARTITION BY day ORDER BY total DESC, item) AS rn FROM d) WHERE rn = 1""")
 def best_seller_per_day(t: Tables):
     totals = t.events.groupBy(F.to_date("ts").alias("day"), F.col("event_type").alias("item")).agg(
-        F.sum(F.col("value").cast("decimal(28,2)")).alias("total")
+        F.sum(F.col("value").cast("decimal(18,2)")).alias("total")
     )
     return aggregate.top_per_group(totals, "day", "item", "total").withColumn("total", F.col("total").cast("double"))
 

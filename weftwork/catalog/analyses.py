@@ -56,9 +56,17 @@ WHERE {test} GROUP BY 1, 2"""
 
 
 def _popular(t: Tables, predicate):
-    rides = trips.with_length(t.lineitem, "l_quantity").join(t.orders, F.expr("l_orderkey = o_orderkey"))
-    rides = rides.join(t.customer, F.expr("o_custkey = c_custkey")).join(t.supplier, F.expr("l_suppkey = s_suppkey"))
-    return trips.popular_pairs(rides, predicate, "c_nationkey", "s_nationkey", t.nation, "n_nationkey", "n_name")
+    """Lines meet the nation of their order, and are counted per supplier before suppliers are joined."""
+    nation_of = t.orders.join(t.customer, F.expr("o_custkey = c_custkey")).select("o_orderkey", "c_nationkey")
+    rides = trips.with_length(t.lineitem.select("l_orderkey", "l_suppkey", "l_quantity"), "l_quantity")
+    counted = (
+        rides.join(nation_of, F.expr("l_orderkey = o_orderkey"))
+        .groupBy("is_long", "c_nationkey", "l_suppkey").agg(F.count("*").alias("lines"))
+    )
+    located = counted.join(t.supplier, F.expr("l_suppkey = s_suppkey"))
+    return trips.popular_pairs(
+        located, predicate, "c_nationkey", "s_nationkey", t.nation, "n_nationkey", "n_name", weight="lines"
+    )
 
 
 @query(_pairs("l_quantity >= 30"))

@@ -121,7 +121,7 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey
 def join_broadcast(t: Tables):
     """Lines are summed per supplier before anything is joined; the nation list is counted, then sent out."""
     per_supplier = t.lineitem.groupBy("l_suppkey").agg(
-        F.sum(F.col("l_quantity").cast("decimal(28,2)")).alias("quantity")
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity")
     )
     located = per_supplier.join(t.supplier, F.expr("l_suppkey = s_suppkey"))
     named = joins.lookup_join(located, t.nation, F.expr("s_nationkey = n_nationkey"), broadcast_rows=1000)

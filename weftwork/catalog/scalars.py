@@ -216,7 +216,7 @@ def map_merge(t: Tables):
 SELECT l_suppkey, l_returnflag, CAST(sum(CAST(l_quantity AS DECIMAL(28,2))) AS DOUBLE) AS l_quantity
 FROM lineitem GROUP BY 1, 2""")
 def map_merge_sum(t: Tables):
-    lines = t.lineitem.withColumn("l_quantity", F.col("l_quantity").cast("decimal(28,2)"))
+    lines = t.lineitem.withColumn("l_quantity", F.col("l_quantity").cast("decimal(18,2)"))
     merged = nested.merge_entries(lines, ["l_suppkey"], "l_returnflag", "l_quantity", F.sum)
     return merged.withColumn("l_quantity", F.col("l_quantity").cast("double"))
 

@@ -56,7 +56,7 @@ def stream_explode(t: Tables):
 SELECT count(*) AS n, CAST(sum(CAST(value AS DECIMAL(28,2))) AS DOUBLE) AS total, max(value) AS largest FROM events""")
 def stream_global_agg(t: Tables):
     totals = _events(t).agg(
-        F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(28,2)")).cast("double").alias("total"),
+        F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
         F.max("value").alias("largest"),
     )
     return run_to_table(totals, "complete")
@@ -84,7 +84,7 @@ _TOTAL = "CAST(sum(CAST(value AS DECIMAL(28,2))) AS DOUBLE) AS total"
 
 
 def _total():
-    return F.sum(F.col("value").cast("decimal(28,2)")).cast("double").alias("total")
+    return F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total")
 
 
 @query(f"""

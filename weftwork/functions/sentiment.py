@@ -41,16 +41,21 @@ def text_score(text: str | Column, lexicon: Lexicon = ENGLISH) -> Column:
     is scored inside its row, so nothing is shuffled.
     """
     sentences = F.filter(F.split(F.lower(text), "[.!?\\n]+"), lambda s: F.trim(s) != "")
+    words = F.transform(sentences, lambda s: F.split(s, "[^\\p{L}\\p{N}]+"))
 
-    def score(sentence: Column) -> Column:
-        words = F.split(sentence, "[^\\p{L}\\p{N}]+")
-        up = F.size(F.filter(words, lambda w: w.isin(list(lexicon.positive))))
-        down = F.size(F.filter(words, lambda w: w.isin(list(lexicon.negative))))
-        return F.greatest(F.lit(0), F.least(F.lit(4), F.lit(2) + up - down))
+    def move(word: Column) -> Column:
+        return F.when(word.isin(list(lexicon.positive)), 1).when(word.isin(list(lexicon.negative)), -1).otherwise(0)
 
-    total = F.aggregate(F.transform(sentences, score), F.lit(0), lambda a, x: a + x)
-    count = F.size(sentences)
-    return F.when(count > 0, total / count).otherwise(F.lit(-1.0))
+    def add_sentence(total: Column, sentence: Column) -> Column:
+        moved = F.aggregate(sentence, F.lit(2), lambda score, word: score + move(word))
+        return total + F.greatest(F.lit(0), F.least(F.lit(4), moved))
+
+    scored = F.aggregate(
+        words, F.struct(F.lit(0).alias("total"), F.lit(0).alias("n")),
+        lambda a, s: F.struct(add_sentence(a["total"], s).alias("total"), (a["n"] + 1).alias("n")),
+        lambda a: F.when(a["n"] > 0, a["total"] / a["n"]).otherwise(F.lit(-1.0)),
+    )
+    return scored
 
 
 def band(score: Column) -> Column:

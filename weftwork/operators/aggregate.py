@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 def exact_sum(column: str | Column, scale: int = 2) -> Column:
     """A sum of money-like doubles that does not depend on the order of addition."""
     value = F.col(column) if isinstance(column, str) else column
-    return F.sum(value.cast(f"decimal(28,{scale})")).cast("double")
+    return F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
 
 
 def profile(df: DataFrame, column: str, threshold: float) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 def _reduced(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str, amount: str):
     probes = left.select(*keys, value).distinct()
     sums = right.groupBy(*keys, F.col(value).alias("__near")).agg(
-        F.sum(F.col(amount).cast("decimal(28,4)")).alias("__sum"), F.count(amount).alias("__n")
+        F.sum(F.col(amount).cast("decimal(18,4)")).alias("__sum"), F.count(amount).alias("__n")
     )
     return probes, sums
 
@@ -67,11 +67,20 @@ def band_average_salted(left, right, keys, value, amount, width, row_columns, sa
     return _averaged(left, met, keys, value, width, row_columns)
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: str, salts: int = 16) -> DataFrame:
-    """Inner equi join with the right side's keys split into ``salts`` parts and left rows copied to each.
+def salted_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: str, salts: int = 16, hot_keys: int = 1000
+) -> DataFrame:
+    """Inner equi join where keys with very many right rows are split into ``salts`` parts.
 
-    For a key so large that one task cannot hold its rows; AQE's skew join handles lesser cases.
+    A key is hot if it has more than a ``hot_keys``-th of the right rows. There are fewer than
+    ``hot_keys`` of them, whatever the data is, so their list may be broadcast. Only left rows of hot
+    keys are copied. For a key too large for one task where AQE's skew join is not at hand.
     """
-    spread = right.withColumn("__salt", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
-    copies = left.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    counts = right.groupBy(*keys).agg(F.count("*").alias("__n"))
+    total = right.agg(F.count("*").alias("__total")).scalar()
+    hot = F.broadcast(counts.where(F.col("__n") > total / hot_keys).select(*keys, F.lit(salts).alias("__salts")))
+    part = F.pmod(F.xxhash64(row_id), F.coalesce("__salts", F.lit(1))).cast("int")
+    spread = right.join(hot, list(keys), "left").withColumn("__salt", part).drop("__salts")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))
+    copies = left.join(hot, list(keys), "left").withColumn("__salt", every).drop("__salts")
     return copies.join(spread, [*keys, "__salt"]).drop("__salt")

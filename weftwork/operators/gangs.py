@@ -4,18 +4,21 @@ All triples of a case with n members are n^3 / 6 rows, so triples are never list
 
 * Cases and members too small to matter go first, then pairs with too few shared cases; a triple is
   only built from surviving pairs of its case.
-* This is done inside light cases (at most ``light`` members). A large case never pairs its members.
-  There are few large cases, at most links / light, so they are handled from the other side: sets of
-  ``min_cases`` large cases that one member has in common. All members of such a set share all of
-  its cases, so every triple among them is a result.
+* This is done inside light cases only. A large case never pairs its members. It is handled from the
+  other side: sets of ``min_cases`` large cases that a member has, kept at each step only if three
+  members have them. All members of such a set share all of its cases, so every triple among
+  them is a result.
 * Triples with shared cases of both sorts come from a light one, and their large cases are looked up.
+* The size from which a case is large is chosen from the data, so that the pairs listed on both sides
+  together are fewest. One case with a third of all links is large; one member in a third of
+  all cases is only ever a member of light ones, unless these are large as well.
 
-Every triple over the limit is found, whatever the sizes are.
+Every triple over the limit is found, whatever the sizes are and wherever the line is drawn.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftwork.session import checkpointed
@@ -27,23 +30,23 @@ MIN_CASES = 3
 
 
 def prune_links(links: DataFrame, min_members: int = MIN_MEMBERS, min_cases: int = MIN_CASES) -> DataFrame:
-    """Distinct links of cases with enough members, then of members with enough such cases."""
+    """Distinct links of cases with enough members, then of members with enough such cases.
+
+    ``size`` is the number of members of the case before members were dropped.
+    """
     links = links.select("case", "member").distinct()
-    cases = links.groupBy("case").agg(F.count("*").alias("n")).where(F.col("n") >= min_members).select("case")
-    links = links.join(cases, "case", "left_semi")
+    cases = links.groupBy("case").agg(F.count("*").alias("size")).where(F.col("size") >= min_members)
+    links = links.join(cases, "case")
     members = links.groupBy("member").agg(F.count("*").alias("n")).where(F.col("n") >= min_cases).select("member")
-    return links.join(members, "member", "left_semi").select("case", "member")
-
-
-def _light_pairs(light: DataFrame) -> DataFrame:
-    first = light.select("case", F.col("member").alias("m1"))
-    second = light.select("case", F.col("member").alias("m2"))
-    return first.join(second, "case").where("m1 < m2")
+    return links.join(members, "member", "left_semi").select("case", "member", "size")
 
 
 def _light_triples(light: DataFrame, large: DataFrame | None, min_cases: int) -> DataFrame:
-    """(case, m1, m2, m3) of light cases, for triples whose pairs can all reach ``min_cases``."""
-    pairs = _light_pairs(light)
+    """(case, m1, m2, m3) of light cases, for triples with two pairs that can reach ``min_cases``."""
+    a, b = light.alias("a"), light.alias("b")
+    pairs = a.join(b, (F.col("a.case") == F.col("b.case")) & (F.col("a.member") < F.col("b.member"))).select(
+        "a.case", F.col("a.member").alias("m1"), F.col("b.member").alias("m2")
+    )
     counts = pairs.groupBy("m1", "m2").agg(F.count("*").alias("n"))
     if large is None:
         able = counts.where(F.col("n") >= min_cases)
@@ -55,13 +58,10 @@ def _light_triples(light: DataFrame, large: DataFrame | None, min_cases: int) ->
             .where(F.col("n") + F.coalesce(F.least("d1", "d2"), F.lit(0)) >= min_cases)
             .where((F.col("n") >= min_cases) | (F.col("d1").isNotNull() & F.col("d2").isNotNull()))
         )
-    kept = pairs.join(able.select("m1", "m2"), ["m1", "m2"], "left_semi")
-    third = kept.select("case", "m1", F.col("m2").alias("m3"))
-    closing = kept.select("case", F.col("m1").alias("m2"), F.col("m2").alias("m3"))
-    return (
-        kept.join(third, ["case", "m1"]).where("m2 < m3")
-        .join(closing, ["case", "m2", "m3"], "left_semi").select("case", *TRIPLE)
-    )
+    kept = pairs.join(able.select("m1", "m2"), ["m1", "m2"], "left_semi").select("case", "m1", "m2")
+    x, y = kept.alias("x"), kept.alias("y")
+    same = (F.col("x.case") == F.col("y.case")) & (F.col("x.m1") == F.col("y.m1")) & (F.col("x.m2") < F.col("y.m2"))
+    return x.join(y, same).select("x.case", "x.m1", "x.m2", F.col("y.m2").alias("m3"))
 
 
 def _large_only_triples(large: DataFrame, min_cases: int) -> DataFrame:
@@ -93,11 +93,39 @@ def _large_cases_of(triples: DataFrame, large: DataFrame) -> DataFrame:
     return rows.select("case", *TRIPLE)
 
 
-def shared_triples(links: DataFrame, min_cases: int = MIN_CASES, light: int = 256) -> DataFrame:
-    """(m1, m2, m3, case) for all triples m1 < m2 < m3 with at least ``min_cases`` cases in common."""
-    links = prune_links(links, MIN_MEMBERS, min_cases)
-    sizes = links.groupBy("case").agg(F.count("*").alias("size"))
-    sized = checkpointed(links.join(sizes, "case"))
+def size_limit(sized: DataFrame) -> int:
+    """The case size up to which listing member pairs per case costs least, from links (member, size).
+
+    Sizes are put into powers of two, so the costs are a few dozen numbers. Up to a limit the cost is
+    a pair per two members of a case; over it, a pair per two large cases of a member.
+    """
+    level = F.ceil(F.log2(F.greatest("size", F.lit(1)))).cast("int").alias("level")
+    by_member = sized.select("member", "size", level).groupBy("member", "level").agg(
+        F.count("*").alias("n"), F.sum("size").alias("pairs")
+    )
+    above = Window.partitionBy("member").orderBy(F.desc("level"))
+    grown = F.sum("n").over(above)
+    # Lowering the limit past a level adds this many pairs of large cases for the member.
+    added = by_member.select("level", "pairs", (grown * grown - (grown - F.col("n")) * (grown - F.col("n"))).alias("added"))
+    costs = added.groupBy("level").agg(
+        F.sum(F.col("pairs").cast("double")).alias("light"), F.sum(F.col("added").cast("double")).alias("large")
+    ).orderBy("level").collect()
+    best, limit = float("inf"), 1
+    for cut in range(len(costs) + 1):
+        cost = sum(c.light for c in costs[:cut]) + sum(c.large for c in costs[cut:])
+        if cost <= best:
+            best, limit = cost, (1 << costs[cut - 1].level if cut else 1)
+    return limit
+
+
+def shared_triples(links: DataFrame, min_cases: int = MIN_CASES, light: int | None = None) -> DataFrame:
+    """(m1, m2, m3, case) for all triples m1 < m2 < m3 with at least ``min_cases`` cases in common.
+
+    ``light`` fixes the largest size of a light case; left out, it is chosen by ``size_limit``.
+    """
+    sized = checkpointed(prune_links(links, MIN_MEMBERS, min_cases))
+    if light is None:
+        light = size_limit(sized)
     small = sized.where(F.col("size") <= light).select("case", "member")
     large = sized.where(F.col("size") > light).select("case", "member")
     if large.isEmpty():
@@ -110,12 +138,12 @@ def shared_triples(links: DataFrame, min_cases: int = MIN_CASES, light: int = 25
     return rows.join(enough.select(*TRIPLE), TRIPLE, "left_semi").select(*TRIPLE, "case")
 
 
-def triple_counts(links: DataFrame, min_cases: int = MIN_CASES, light: int = 256) -> DataFrame:
+def triple_counts(links: DataFrame, min_cases: int = MIN_CASES, light: int | None = None) -> DataFrame:
     """(m1, m2, m3, n): triples with the number of cases that they share."""
     return shared_triples(links, min_cases, light).groupBy(*TRIPLE).agg(F.count("*").alias("n"))
 
 
-def gang_members(links: DataFrame, min_cases: int = MIN_CASES, light: int = 256) -> DataFrame:
+def gang_members(links: DataFrame, min_cases: int = MIN_CASES, light: int | None = None) -> DataFrame:
     """(member, m1, m2, m3, case): per member the triples found in at least ``min_cases`` of its cases.
 
     The member need not belong to the triple. If it does not, it makes further such triples with every
@@ -124,22 +152,27 @@ def gang_members(links: DataFrame, min_cases: int = MIN_CASES, light: int = 256)
     shared = checkpointed(shared_triples(links, min_cases, light))
     triples = shared.select(*TRIPLE).distinct()
     inside = shared.select(F.explode(F.array(*TRIPLE)).alias("member"), *TRIPLE, "case")
+    sides = [("m1", "m2", "m3"), ("m1", "m3", "m2"), ("m2", "m3", "m1")]
     extended = triples.select(
-        F.explode(F.array(
-            F.struct(F.col("m1").alias("a"), F.col("m2").alias("b"), F.col("m3").alias("member")),
-            F.struct(F.col("m1").alias("a"), F.col("m3").alias("b"), F.col("m2").alias("member")),
-            F.struct(F.col("m2").alias("a"), F.col("m3").alias("b"), F.col("m1").alias("member")),
-        )).alias("e")
+        F.explode(F.array(*[
+            F.struct(F.col(a).alias("a"), F.col(b).alias("b"), F.col(c).alias("member")) for a, b, c in sides
+        ])).alias("e")
     ).select("e.*")
-
-    def pair(a: str, b: str) -> DataFrame:
-        return extended.select(F.col("a").alias(a), F.col("b").alias(b), "member")
-
+    # A triple is extended along its pair with the fewest thirds, and checked along the other two.
+    thirds = extended.groupBy("a", "b").agg(F.count("*").alias("d"))
+    weighed = triples
+    for i, (a, b, _) in enumerate(sides):
+        weighed = weighed.join(thirds.select(F.col("a").alias(a), F.col("b").alias(b), F.col("d").alias(f"d{i}")), [a, b])
+    fewest = F.least(*[
+        F.struct(F.col(f"d{i}").alias("d"), F.col(a).alias("a"), F.col(b).alias("b")) for i, (a, b, _) in enumerate(sides)
+    ])
     outside = (
-        triples.join(pair("m1", "m2"), ["m1", "m2"]).where("member <> m3")
-        .join(pair("m1", "m3"), ["m1", "m3", "member"], "left_semi")
-        .join(pair("m2", "m3"), ["m2", "m3", "member"], "left_semi")
+        weighed.select(*TRIPLE, fewest.alias("f")).select(*TRIPLE, "f.a", "f.b")
+        .join(extended, ["a", "b"]).where(~F.col("member").isin(*[F.col(m) for m in TRIPLE])).drop("a", "b")
     )
+    for a, b, _ in sides:
+        pair = extended.select(F.col("a").alias(a), F.col("b").alias(b), "member")
+        outside = outside.join(pair, [a, b, "member"], "left_semi")
     present = links.select("case", "member").distinct()
     met = shared.join(outside, TRIPLE).join(present, ["case", "member"], "left_semi")
     enough = (

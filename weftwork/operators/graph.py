@@ -71,24 +71,20 @@ def shortest_paths(
     light = checkpointed(
         edges.where("src <> dst").groupBy("src", "dst").agg(F.min(cost).alias("cost"))
     )
-    known = checkpointed(
-        landmarks.select("id", F.col("id").alias("landmark"), F.lit(0.0).alias("distance"), F.lit(True).alias("fresh"))
-    )
+    known = landmarks.select("id", F.col("id").alias("landmark"), F.lit(0.0).alias("distance"), F.lit(True).alias("fresh"))
     for _ in range(max_rounds):
-        frontier = known.where("fresh")
         offers = (
-            light.join(frontier.select(F.col("id").alias("dst"), "landmark", "distance"), "dst")
-            .groupBy(F.col("src").alias("id"), "landmark")
-            .agg(F.min(F.col("distance") + F.col("cost")).alias("offer"))
+            light.join(known.where("fresh").select(F.col("id").alias("dst"), "landmark", "distance"), "dst")
+            .select(F.col("src").alias("id"), "landmark", F.lit(None).cast("double").alias("distance"),
+                    (F.col("distance") + F.col("cost")).alias("offer"))
         )
-        better = F.col("distance").isNull() | (F.col("offer") < F.col("distance"))
-        better = F.coalesce(F.col("offer").isNotNull() & better, F.lit(False))
+        # Known distances and offers meet in one aggregation, which also takes the minimum map-side.
+        improved = F.col("offer").isNotNull() & (F.col("old").isNull() | (F.col("offer") < F.col("old")))
         known = checkpointed(
-            known.drop("fresh").join(offers, ["id", "landmark"], "full").select(
-                "id", "landmark",
-                F.least("distance", "offer").alias("distance"),
-                better.alias("fresh"),
-            )
+            known.select("id", "landmark", "distance", F.lit(None).cast("double").alias("offer")).union(offers)
+            .groupBy("id", "landmark").agg(F.min("distance").alias("old"), F.min("offer").alias("offer"))
+            .select("id", "landmark", F.least("old", "offer").alias("distance"),
+                    F.coalesce(improved, F.lit(False)).alias("fresh"))
         )
         if known.where("fresh").isEmpty():
             break

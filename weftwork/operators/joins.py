@@ -80,12 +80,14 @@ def array_member_join(
 def copartitioned_join(
     left: DataFrame, right: DataFrame, key: str, partitions: int | None = None, how: str = "inner"
 ) -> DataFrame:
-    """Both sides hashed by ``key`` while they are narrow; the join then needs no further shuffle.
+    """Join of sides that are hashed by ``key`` while they are narrow; derive wide columns from the result.
 
-    Derive wide columns from the result. AQE still splits a skewed key when ``partitions`` is left out.
+    Each side is shuffled once. With ``partitions`` the layout is fixed, for reuse by later steps on the
+    same key. Without it the join's own exchange is that layout, and AQE may split a skewed key.
     """
-    spread = (lambda df: df.repartition(partitions, key)) if partitions else (lambda df: df.repartition(key))
-    return spread(left).join(spread(right), key, how)
+    if partitions is not None:
+        left, right = left.repartition(partitions, key), right.repartition(partitions, key)
+    return left.join(right, key, how)
 
 
 def best_then_join(

@@ -53,29 +53,29 @@ def control_shares(
 
     Shares are rows, not a map per vertex, so a vertex with very many origins is spread over tasks.
     """
-    active = checkpointed(edges.select("src", "dst", "rate"))
-    ends = active.select(F.col("src").alias("id")).union(active.select("dst")).distinct()
-    shares = checkpointed(ends.select("id", F.col("id").alias("origin"), F.lit(1.0).alias("share")))
+    edges = checkpointed(edges.select("src", "dst", "rate"))
+    ends = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
+    shares = ends.select("id", F.col("id").alias("origin"), F.lit(1.0).alias("share"))
+    active = edges
     for _ in range(max_rounds):
         sent = F.when(F.col("share") > control, F.col("rate")).otherwise(F.col("rate") * F.col("share"))
         messages = (
             active.join(shares.where(F.col("share") > negligible), active["src"] == shares["id"])
             .where("origin <> dst")
-            .select(F.col("dst").alias("id"), "origin", sent.alias("sent"))
-            .groupBy("id", "origin").agg(F.sum("sent").alias("sent"))
+            .select(F.col("dst").alias("id"), "origin", F.lit(None).cast("double").alias("share"), sent.alias("sent"))
         )
+        # Old shares and messages meet in one aggregation, which also sums the messages map-side.
         merged = checkpointed(
-            shares.join(messages, ["id", "origin"], "full").select(
-                "id", "origin", F.greatest("share", "sent").alias("share"),
-                F.col("sent").isNotNull().alias("messaged"), F.col("share").isNull().alias("gained"),
-            )
+            shares.select("id", "origin", "share", F.lit(None).cast("double").alias("sent")).union(messages)
+            .groupBy("id", "origin").agg(F.max("share").alias("old"), F.sum("sent").alias("sent"))
+            .select("id", "origin", F.greatest("old", "sent").alias("share"), F.col("old").isNull().alias("gained"))
         )
-        got_message = not merged.where("messaged").isEmpty()
         shares = merged.select("id", "origin", "share")
-        if not got_message:
-            break
         grown = merged.where("gained").select(F.col("id").alias("dst")).distinct()
-        active = checkpointed(active.join(grown, "dst", "left_semi").select("src", "dst", "rate"))
+        if grown.isEmpty():
+            break
+        # Only ends of active edges can grow, so the edges of the next round follow from this round alone.
+        active = edges.join(grown, "dst", "left_semi").select("src", "dst", "rate")
     return shares.where("origin <> id").select("origin", "id", "share")
 
 

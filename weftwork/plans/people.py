@@ -46,7 +46,7 @@ def pay_by_department(hires: DataFrame, memberships: DataFrame, pay: DataFrame,
     return hires.sparkSession.sql(
         """
         SELECT m.department,
-               CAST(sum(CAST(p.amount AS DECIMAL(28, 2))) AS DOUBLE) / count(p.amount) AS mean_amount
+               CAST(sum(CAST(p.amount AS DECIMAL(18, 2))) AS DOUBLE) / count(p.amount) AS mean_amount
         FROM {hires} h, {memberships} m, {pay} p
         WHERE h.key = m.key AND h.key = p.key AND h.hired > :after AND h.hired < :before
         GROUP BY m.department""",

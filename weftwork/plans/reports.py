@@ -20,7 +20,7 @@ def group_report(df: DataFrame, group: str, rating: str, amount: str) -> DataFra
     """Mean rating and total amount per group, best rating first, groups without rating last."""
     return (
         df.groupBy(group)
-        .agg(F.avg(rating).alias("mean_rating"), F.sum(F.col(amount).cast("decimal(28,2)")).cast("double").alias("total"))
+        .agg(F.avg(rating).alias("mean_rating"), F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("total"))
         .orderBy(F.col("mean_rating").desc_nulls_last(), group)
     )
 

@@ -50,10 +50,12 @@ def by_hour_and_length(trips: DataFrame, time: str, distance: str, long_from: fl
 
 
 def popular_pairs(
-    trips: DataFrame, predicate: Column, pickup: str, dropoff: str, zones: DataFrame, zone_id: str, zone: str
+    trips: DataFrame, predicate: Column, pickup: str, dropoff: str, zones: DataFrame, zone_id: str, zone: str,
+    weight: str | None = None,
 ) -> DataFrame:
     """Pickup and dropoff zone names of the trips that pass, most frequent pair first."""
-    counts = count_groups(trips.where(predicate), pickup, dropoff, name=TOTAL)
+    total = F.count("*") if weight is None else F.sum(weight)
+    counts = trips.where(predicate).groupBy(pickup, dropoff).agg(total.alias(TOTAL))
     named = double_lookup(counts, zones, zone_id, zone, pickup, dropoff, "pickup_zone", "dropoff_zone")
     return named.drop(pickup, dropoff).orderBy(F.col(TOTAL).desc_nulls_last())
 
@@ -87,7 +89,7 @@ def sharing_groups(
         trips.where(small_party)
         .select(nearest_slot(time, model.slot_seconds).alias("slot"), zone, fare)
         .groupBy("slot", zone)
-        .agg(F.count("*").alias(TOTAL), F.sum(F.col(fare).cast("decimal(28,2)")).cast("double").alias("total_amount"))
+        .agg(F.count("*").alias(TOTAL), F.sum(F.col(fare).cast("decimal(18,2)")).cast("double").alias("total_amount"))
         .withColumn("approximate_datetime", from_epoch_seconds(F.col("slot") * model.slot_seconds))
         .drop("slot")
     )
@@ -98,7 +100,7 @@ def sharing_impact(
 ) -> DataFrame:
     """Adds the expected impact per group. The mean fare of all trips is a scalar subquery."""
     mean_fare = trips.agg(
-        (F.sum(F.col(fare).cast("decimal(28,2)")).cast("double") / F.count(fare)).alias("mean_fare")
+        (F.sum(F.col(fare).cast("decimal(18,2)")).cast("double") / F.count(fare)).alias("mean_fare")
     ).scalar()
     grouped = F.col(TOTAL) * model.grouped
     accepted = F.col("grouped_rides") * model.accepted * (mean_fare * model.cost_share - model.discount)

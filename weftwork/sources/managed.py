@@ -18,7 +18,8 @@ def save_bucketed(
 ) -> DataFrame:
     """Save ``df`` hashed into ``buckets`` by ``keys``, so that later joins on them need no shuffle.
 
-    The rows are shuffled to their bucket first: each bucket is then one file, not one per task.
+    The rows are shuffled to their bucket first: each bucket is then one file, not one per task. One key
+    is always in one bucket, so a table with a very hot key is better joined by ``salted_join`` or by AQE.
     """
     writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys)
     if sort:
