@@ -151,3 +151,26 @@ def test_salted_join(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k long, name string")
     right = spark.range(1000).select(F.when(F.col("id") < 900, 1).otherwise(F.col("id")).alias("k"), "id")
     assert bandjoin.salted_join(left, right, ["k"], "id").count() == right.join(left, "k").count() == 900
+
+
+def test_adaptive_skew_join_splits_a_hot_key(spark):
+    """What an ordinary join does about one key with most of the rows."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        right = spark.range(0, 200_000, 1, 8).select(
+            F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+        )
+        left = spark.range(0, 5_000).select(F.col("id").alias("k"))
+        joined = joins.copartitioned_join(left, right, "k")
+        assert len(joined.toArrow()) == right.where("k < 5000").count()
+        assert "skew=true" in plan(joined)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)

@@ -126,6 +126,16 @@ def test_triggers():
     assert sinks.trigger_options("continuous", "1 second") == {"continuous": "1 second"}
 
 
+def test_console_and_socket_are_only_declared(spark):
+    """A console query over nothing but a file; the socket source is built but never started."""
+    folder = scratch_path(spark, "in")
+    spark.range(2).selectExpr("CAST(id AS string) AS value").write.text(folder)
+    query = sinks.start_console(sources.file_stream(spark, folder, "value string", "text"), **sinks.trigger_options("once"))
+    query.awaitTermination()
+    assert query.exception() is None
+    assert sources.socket_lines(spark, "localhost", 9).isStreaming
+
+
 def test_row_writer_sends_groups(spark, tmp_path):
     sent = []
     writer = sinks.BufferedRowWriter(lambda rows: sent.append(list(rows)), size=2)
