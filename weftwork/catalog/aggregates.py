@@ -100,10 +100,10 @@ def group_latest(t: Tables):
 
 @query(f"""
 SELECT o_orderpriority, o_orderstatus, {_sum('o_totalprice')} / count(*) AS mean
-FROM orders WHERE o_custkey < 500 AND o_orderstatus <> 'P' GROUP BY 1, 2 ORDER BY mean DESC NULLS LAST""")
+FROM orders WHERE o_totalprice > 100000 AND o_orderstatus <> 'P' GROUP BY 1, 2 ORDER BY mean DESC NULLS LAST""")
 def filtered_group_avg(t: Tables):
     return (
-        t.orders.where("o_custkey < 500 AND o_orderstatus <> 'P'").groupBy("o_orderpriority", "o_orderstatus")
+        t.orders.where("o_totalprice > 100000 AND o_orderstatus <> 'P'").groupBy("o_orderpriority", "o_orderstatus")
         .agg((exact_sum("o_totalprice") / F.count("*")).alias("mean"))
         .orderBy(F.col("mean").desc_nulls_last())
     )

@@ -94,7 +94,7 @@ def code_per_day(t: Tables):
 _GROUPS = """WITH g AS (
   SELECT CAST(round(floor(epoch(ts)) / 300) AS INTEGER) AS slot, event_type, count(*) AS total_trips,
          CAST(sum(CAST(value AS DECIMAL(28,2))) AS DOUBLE) AS total_amount
-  FROM events WHERE user_id % 5 < 3 GROUP BY 1, 2),
+  FROM events WHERE value < 100 GROUP BY 1, 2),
 m AS (SELECT CAST(sum(CAST(value AS DECIMAL(28,2))) AS DOUBLE) / count(value) AS mean_fare FROM events),
 i AS (SELECT *, total_trips * 0.05::DOUBLE AS grouped_rides,
              total_trips * 0.05::DOUBLE * 0.3::DOUBLE * (mean_fare * 0.6::DOUBLE - 5)
@@ -102,7 +102,7 @@ i AS (SELECT *, total_trips * 0.05::DOUBLE AS grouped_rides,
 
 
 def _impact(t: Tables):
-    small = F.col("user_id") % 5 < 3
+    small = F.col("value") < 100
     return trips.sharing_impact(trips.sharing_groups(t.events, "ts", "event_type", "value", small), t.events, "value")
 
 

@@ -7,17 +7,17 @@ from weftwork.operators import gangs, graph, ownership
 
 
 def _buys(t: Tables):
-    """Customers as vertices; an order is an edge from its customer to a number made from its key."""
+    """Customers as vertices; an order is an edge to a number made from its key, half of them customers."""
     vertices = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("kind"))
     edges = t.orders.select(
-        F.col("o_custkey").alias("src"), (F.col("o_orderkey") % 2000).alias("dst"),
+        F.col("o_custkey").alias("src"), F.expr("o_orderkey div 5").alias("dst"),
         F.col("o_orderpriority").alias("label"),
     )
     return vertices, edges
 
 
 _BUYS = """WITH v AS (SELECT c_custkey AS id, c_mktsegment AS kind FROM customer),
-e AS (SELECT o_custkey AS src, o_orderkey % 2000 AS dst, o_orderpriority AS label FROM orders)"""
+e AS (SELECT o_custkey AS src, o_orderkey // 5 AS dst, o_orderpriority AS label FROM orders)"""
 
 
 @query(_BUYS + """
@@ -167,39 +167,39 @@ def control_shares(t: Tables):
 @query("""
 SELECT DISTINCT c_custkey AS src, s_suppkey AS dst, o_totalprice / 100 AS rate, 'BUY' AS kind
 FROM orders JOIN customer ON c_name = 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
-JOIN supplier ON s_name = 'Supplier#' || lpad(CAST(o_orderkey % 120 AS VARCHAR), 9, '0')
+JOIN supplier ON s_name = 'Supplier#' || lpad(CAST(o_orderkey // 120 AS VARCHAR), 9, '0')
 UNION
 SELECT DISTINCT c_custkey, s_suppkey, o_totalprice, 'ASK'
 FROM orders JOIN customer ON c_name = 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
-JOIN supplier ON s_name = 'Supplier#' || lpad(CAST(o_orderkey % 90 AS VARCHAR), 9, '0')""")
+JOIN supplier ON s_name = 'Supplier#' || lpad(CAST(o_orderkey // 200 AS VARCHAR), 9, '0')""")
 def edge_resolve(t: Tables):
     """Text names at both ends become numbers; ends that are not known drop their edge."""
     ids = t.customer.select(F.col("c_name").alias("id"), F.col("c_custkey").alias("key")).union(
         t.supplier.select("s_name", "s_suppkey")
     )
 
-    def named(modulus: int):
-        supplier = F.lpad((F.col("o_orderkey") % modulus).cast("string"), 9, "0")
+    def named(orders_each: int):
+        supplier = F.lpad(F.expr(f"CAST(o_orderkey div {orders_each} AS STRING)"), 9, "0")
         return t.orders.select(
             F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("from"),
             F.concat(F.lit("Supplier#"), supplier).alias("to"), F.col("o_totalprice").alias("rate"),
         )
 
     buys = ownership.resolve_edges(named(120), ids, "BUY", "rate")
-    asks = ownership.resolve_edges(named(90), ids, "ASK", "rate", as_percent=False)
+    asks = ownership.resolve_edges(named(200), ids, "ASK", "rate", as_percent=False)
     return buys.unionByName(asks).distinct()
 
 
 @query("""
 SELECT count(*) AS unresolved FROM orders
 WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
-   OR o_orderkey % 120 NOT IN (SELECT s_suppkey FROM supplier)""")
+   OR o_orderkey // 120 NOT IN (SELECT s_suppkey FROM supplier)""")
 def edge_unresolved(t: Tables):
     ids = t.customer.select(F.concat(F.lit("c"), "c_custkey").alias("id")).union(
         t.supplier.select(F.concat(F.lit("s"), "s_suppkey"))
     )
     edges = t.orders.select(
-        F.concat(F.lit("c"), "o_custkey").alias("from"), F.concat(F.lit("s"), F.col("o_orderkey") % 120).alias("to")
+        F.concat(F.lit("c"), "o_custkey").alias("from"), F.concat(F.lit("s"), F.expr("o_orderkey div 120")).alias("to")
     )
     return ownership.unresolved_count(edges, ids)
 

@@ -31,12 +31,10 @@ def join_right(t: Tables):
 
 @query("""
 SELECT s_suppkey, c_custkey
-FROM (SELECT * FROM supplier WHERE s_nationkey < 12) s
-FULL JOIN (SELECT * FROM customer WHERE c_nationkey > 8) c ON s_suppkey = c_custkey AND s_nationkey = c_nationkey""")
+FROM supplier FULL JOIN customer ON s_suppkey = c_custkey AND s_nationkey = c_nationkey""")
 def join_full(t: Tables):
     return (
-        t.supplier.where("s_nationkey < 12")
-        .join(t.customer.where("c_nationkey > 8"), F.expr("s_suppkey = c_custkey AND s_nationkey = c_nationkey"), "full")
+        t.supplier.join(t.customer, F.expr("s_suppkey = c_custkey AND s_nationkey = c_nationkey"), "full")
         .select("s_suppkey", "c_custkey")
     )
 

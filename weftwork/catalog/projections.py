@@ -39,11 +39,11 @@ def literal_col(t: Tables):
 
 @query("""
 SELECT o_orderkey, o_totalprice FROM orders
-WHERE o_orderstatus = 'F' AND o_totalprice > 150000 AND (o_orderpriority = '1-URGENT' OR o_custkey < 100)""")
+WHERE o_orderstatus = 'F' AND o_totalprice > 150000 AND (o_orderpriority = '1-URGENT' OR o_orderdate < '1996-01-01')""")
 def filter_and(t: Tables):
     return project.where_all(
         t.orders, F.col("o_orderstatus") == "F", "o_totalprice > 150000",
-        (F.col("o_orderpriority") == "1-URGENT") | (F.col("o_custkey") < 100),
+        (F.col("o_orderpriority") == "1-URGENT") | (F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")),
     ).select("o_orderkey", "o_totalprice")
 
 

@@ -93,13 +93,13 @@ def parse_date(t: Tables):
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(o_orderdate AS DATE) END AS parsed FROM orders""")
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS parsed FROM orders""")
 def parse_date_multi(t: Tables):
-    third = F.col("o_orderkey") % 3
+    status = F.col("o_orderstatus")
     written = t.orders.select(
         "o_orderkey",
-        F.when(third == 0, F.date_format("o_orderdate", "dd-MM-yyyy"))
-        .when(third == 1, F.date_format("o_orderdate", "yyyy/MM/dd"))
+        F.when(status == "F", F.date_format("o_orderdate", "dd-MM-yyyy"))
+        .when(status == "O", F.date_format("o_orderdate", "yyyy/MM/dd"))
         .otherwise("some day").alias("written"),
     )
     return written.select("o_orderkey", dates.parse_date_any("written", "dd-MM-yyyy", "yyyy/MM/dd").alias("parsed"))
