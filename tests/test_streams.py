@@ -89,6 +89,27 @@ def test_windows_same_on_batch_and_stream(spark, small):
     assert sorted(map(tuple, ran.collect())) == sorted(map(tuple, sinks.naive(job(table)).collect()))
 
 
+def test_state_on_disk(spark):
+    """The state store of cluster sessions gives the same counts."""
+    from weftwork.session import _CLUSTER_CONF
+
+    for name, value in _CLUSTER_CONF.items():
+        spark.conf.set(name, value)
+    try:
+        test_watermark_sequences(spark, "second")
+    finally:
+        for name in _CLUSTER_CONF:
+            spark.conf.unset(name)
+
+
+def test_empty_stream(spark):
+    folder = scratch_path(spark, "nothing")
+    os.makedirs(folder)
+    lines = sources.file_stream(spark, folder, "value string", "text")
+    assert sinks.run_to_table(lines).count() == 0
+    assert sinks.run_to_table(lines.groupBy("value").count(), "complete").count() == 0
+
+
 def test_word_count_stream(spark):
     rows, _ = feed(
         spark, [["a b a"], ["b c"]],

@@ -58,7 +58,7 @@ def _light_triples(light: DataFrame, large: DataFrame | None, min_cases: int) ->
             .where(F.col("n") + F.coalesce(F.least("d1", "d2"), F.lit(0)) >= min_cases)
             .where((F.col("n") >= min_cases) | (F.col("d1").isNotNull() & F.col("d2").isNotNull()))
         )
-    kept = pairs.join(able.select("m1", "m2"), ["m1", "m2"], "left_semi").select("case", "m1", "m2")
+    kept = checkpointed(pairs.join(able.select("m1", "m2"), ["m1", "m2"], "left_semi").select("case", "m1", "m2"))
     x, y = kept.alias("x"), kept.alias("y")
     same = (F.col("x.case") == F.col("y.case")) & (F.col("x.m1") == F.col("y.m1")) & (F.col("x.m2") < F.col("y.m2"))
     return x.join(y, same).select("x.case", "x.m1", "x.m2", F.col("y.m2").alias("m3"))
@@ -131,7 +131,7 @@ def shared_triples(links: DataFrame, min_cases: int = MIN_CASES, light: int | No
     if large.isEmpty():
         rows = _light_triples(small, None, min_cases)
     else:
-        found = _light_triples(small, large, min_cases)
+        found = checkpointed(_light_triples(small, large, min_cases))
         candidates = found.select(*TRIPLE).union(_large_only_triples(large, min_cases)).distinct()
         rows = found.unionByName(_large_cases_of(candidates, large))
     enough = rows.groupBy(*TRIPLE).agg(F.count("*").alias("n")).where(F.col("n") >= min_cases)

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from weftwork.session import checkpointed
 
 
+# A frontier counted to be no longer than this is sent to every task.
+BROADCAST_ROWS = 100_000
+
+
 def with_default_vertices(vertices: DataFrame, edges: DataFrame, defaults: dict) -> DataFrame:
     """All vertices; ids that only edges name get default attributes."""
     ends = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
@@ -72,9 +76,14 @@ def shortest_paths(
         edges.where("src <> dst").groupBy("src", "dst").agg(F.min(cost).alias("cost"))
     )
     known = landmarks.select("id", F.col("id").alias("landmark"), F.lit(0.0).alias("distance"), F.lit(True).alias("fresh"))
+    frontier, senders = known, None
     for _ in range(max_rounds):
+        sending = frontier.select(F.col("id").alias("dst"), "landmark", "distance")
+        if senders is not None and senders <= BROADCAST_ROWS:
+            # Counted to be few: they go to the edges, and the edges are not shuffled in this round.
+            sending = F.broadcast(sending)
         offers = (
-            light.join(known.where("fresh").select(F.col("id").alias("dst"), "landmark", "distance"), "dst")
+            light.join(sending, "dst")
             .select(F.col("src").alias("id"), "landmark", F.lit(None).cast("double").alias("distance"),
                     (F.col("distance") + F.col("cost")).alias("offer"))
         )
@@ -86,7 +95,9 @@ def shortest_paths(
             .select("id", "landmark", F.least("old", "offer").alias("distance"),
                     F.coalesce(improved, F.lit(False)).alias("fresh"))
         )
-        if known.where("fresh").isEmpty():
+        frontier = known.where("fresh")
+        senders = frontier.count()
+        if senders == 0:
             break
     else:
         raise RuntimeError(f"no fixed point within {max_rounds} rounds")

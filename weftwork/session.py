@@ -21,6 +21,13 @@ _BASE_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Stream state on the executors' disks, so that it may outgrow their memory.
+_CLUSTER_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 _LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -40,8 +47,7 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master is not None:
         builder = builder.master(master)
-        if master.startswith("local"):
-            settings.update(_LOCAL_CONF)
+    settings.update(_LOCAL_CONF if (master or "").startswith("local") else _CLUSTER_CONF)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -153,6 +153,8 @@ def run_to_table(df: DataFrame, mode: str = "append") -> DataFrame:
         last.append(batch_id)
 
     start_batches(df, write, checkpoint, mode).awaitTermination()
+    if not last:
+        return naive(spark.createDataFrame([], df.schema))
     return naive(spark.read.schema(df.schema).parquet(f"{out}/batch={last[-1]}"))
 
 
