@@ -67,16 +67,33 @@ def test_shortest_path_cycle_and_two_landmarks(spark):
     }
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(st.integers(0, 7), st.integers(0, 7), st.integers(0, 9)), min_size=1, max_size=25))
-def test_shortest_path_like_relaxation(spark, rows):
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.tuples(st.integers(0, 7), st.integers(0, 7), st.integers(0, 9)), min_size=1, max_size=25),
+    st.sampled_from([-1, 1_000_000]),
+)
+def test_shortest_path_like_relaxation(spark, rows, rewrite_below):
     expected = {0: 0.0}
     for _ in range(8):
         for s, d, w in rows:
             if d in expected:
                 expected[s] = min(expected.get(s, float("inf")), expected[d] + w)
     table = edges_table(spark, [(s, d, float(w)) for s, d, w in rows])
-    assert {r.id: r.distance for r in graph.shortest_paths(table, landmark(spark, 0), "weight").collect()} == expected
+    found = graph.shortest_paths(table, landmark(spark, 0), "weight", rewrite_below=rewrite_below)
+    assert {r.id: r.distance for r in found.collect()} == expected
+
+
+def test_shortest_path_tail_writes_improvements_only(spark, monkeypatch):
+    """A star with a chain behind it: after the star is known, each round improves one row."""
+    calls = []
+    improved = graph._improved
+    monkeypatch.setattr(graph, "_improved", lambda *a: calls.append(1) or improved(*a))
+    chain = [(1000 + i + 1, 1000 + i, 2.0) for i in range(24)]
+    rows = [(i, 0, 1.0) for i in range(1, 400)] + [(1000, 0, 5.0), *chain]
+    found = graph.shortest_paths(edges_table(spark, rows), landmark(spark, 0), "weight", rewrite_below=100)
+    distances = {r.id: r.distance for r in found.collect()}
+    assert len(distances) == 425 and distances[1024] == 5 + 48 and distances[7] == 1
+    assert len(calls) > 20
 
 
 def test_ownership_golden(spark):

@@ -62,7 +62,8 @@ def subgraph(
 
 
 def shortest_paths(
-    edges: DataFrame, landmarks: DataFrame, weight: str | None = None, max_rounds: int = 1_000
+    edges: DataFrame, landmarks: DataFrame, weight: str | None = None, max_rounds: int = 1_000,
+    rewrite_below: int = 1_000_000,
 ) -> DataFrame:
     """Least distance along edge direction from each vertex to each landmark that it can reach.
 
@@ -70,35 +71,68 @@ def shortest_paths(
     Each round only sends from rows that improved in the last one, against the edges, and ends when
     none did. Parallel edges are reduced to the lightest one before the loop.
     Returns (id, landmark, distance).
+
+    A round rewrites the table of known distances while that is short (``rewrite_below`` rows) or while
+    many rows improve. In the long tail of a large graph, where few do, a round reads the table without
+    shuffling it and writes the improvements only.
     """
     cost = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     light = checkpointed(
         edges.where("src <> dst").groupBy("src", "dst").agg(F.min(cost).alias("cost"))
     )
-    known = landmarks.select("id", F.col("id").alias("landmark"), F.lit(0.0).alias("distance"), F.lit(True).alias("fresh"))
-    frontier, senders = known, None
+    known = landmarks.select("id", F.col("id").alias("landmark"), F.lit(0.0).alias("distance"))
+    frontier, senders, size, improvements = known, None, 0, 0
     for _ in range(max_rounds):
-        sending = frontier.select(F.col("id").alias("dst"), "landmark", "distance")
-        if senders is not None and senders <= BROADCAST_ROWS:
-            # Counted to be few: they go to the edges, and the edges are not shuffled in this round.
-            sending = F.broadcast(sending)
-        offers = (
-            light.join(sending, "dst")
-            .select(F.col("src").alias("id"), "landmark", F.lit(None).cast("double").alias("distance"),
-                    (F.col("distance") + F.col("cost")).alias("offer"))
-        )
-        # Known distances and offers meet in one aggregation, which also takes the minimum map-side.
-        improved = F.col("offer").isNotNull() & (F.col("old").isNull() | (F.col("offer") < F.col("old")))
-        known = checkpointed(
-            known.select("id", "landmark", "distance", F.lit(None).cast("double").alias("offer")).union(offers)
-            .groupBy("id", "landmark").agg(F.min("distance").alias("old"), F.min("offer").alias("offer"))
-            .select("id", "landmark", F.least("old", "offer").alias("distance"),
-                    F.coalesce(improved, F.lit(False)).alias("fresh"))
-        )
-        frontier = known.where("fresh")
-        senders = frontier.count()
+        offers = _offers(light, frontier, senders)
+        few = senders is not None and size > rewrite_below and senders * 50 < size and improvements < 20
+        if few:
+            offers = checkpointed(offers.groupBy("id", "landmark").agg(F.min("offer").alias("offer")))
+            few = offers.count() <= BROADCAST_ROWS
+        if few:
+            frontier = checkpointed(_improved(known, offers))
+            known = known.union(frontier)
+            senders, improvements = frontier.count(), improvements + 1
+        else:
+            merged = checkpointed(_merged(known, offers))
+            known, frontier = merged.drop("fresh"), merged.where("fresh").drop("fresh")
+            counted = merged.agg(F.count("*").alias("size"), F.count_if("fresh").alias("fresh")).first()
+            size, senders, improvements = counted.size, counted.fresh, 0
         if senders == 0:
             break
     else:
         raise RuntimeError(f"no fixed point within {max_rounds} rounds")
-    return known.select("id", "landmark", "distance")
+    if improvements:
+        known = known.groupBy("id", "landmark").agg(F.min("distance").alias("distance"))
+    return known
+
+
+def _offers(light: DataFrame, frontier: DataFrame, senders: int | None) -> DataFrame:
+    """(id, landmark, offer): the distances that the rows of the frontier offer along each edge."""
+    sending = frontier.withColumnRenamed("id", "dst")
+    if senders is not None and senders <= BROADCAST_ROWS:
+        # Counted to be few: they go to the edges, and the edges are not shuffled in this round.
+        sending = F.broadcast(sending)
+    return light.join(sending, "dst").select(
+        F.col("src").alias("id"), "landmark", (F.col("distance") + F.col("cost")).alias("offer")
+    )
+
+
+def _merged(known: DataFrame, offers: DataFrame) -> DataFrame:
+    """Known distances and offers meet in one aggregation; ``fresh`` tells which rows the offers improved."""
+    nothing = F.lit(None).cast("double")
+    improved = F.col("offer").isNotNull() & (F.col("old").isNull() | (F.col("offer") < F.col("old")))
+    return (
+        known.withColumn("offer", nothing)
+        .unionByName(offers.withColumn("distance", nothing))
+        .groupBy("id", "landmark").agg(F.min("distance").alias("old"), F.min("offer").alias("offer"))
+        .select("id", "landmark", F.least("old", "offer").alias("distance"), F.coalesce(improved, F.lit(False)).alias("fresh"))
+    )
+
+
+def _improved(known: DataFrame, offers: DataFrame) -> DataFrame:
+    """The offers that beat what is known, for offers counted to be few; ``known`` is not shuffled."""
+    key = ["id", "landmark"]
+    held = known.join(F.broadcast(offers.select(*key)), key, "left_semi")
+    best = held.groupBy(*key).agg(F.min("distance").alias("distance"))
+    beaten = offers.join(best, key, "left").where(F.col("distance").isNull() | (F.col("offer") < F.col("distance")))
+    return beaten.select(*key, F.col("offer").alias("distance"))
