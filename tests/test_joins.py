@@ -128,7 +128,8 @@ def test_band_forms_agree_under_skew(spark, width):
     left_df = spark.createDataFrame(left, "rid long, k string, x int")
     right_df = spark.createDataFrame(right, "k string, x int, price double")
     expected = brute_band(left, right, width)
-    for form in (bandjoin.band_average, bandjoin.band_average_bucketed, bandjoin.band_average_salted):
+    for form in (bandjoin.band_average, bandjoin.band_average_bucketed, bandjoin.band_average_salted,
+                 bandjoin.band_average_running):
         found = {r.rid: r.avg_amount for r in form(left_df, right_df, ["k"], "x", "price", width, ["rid"]).collect()}
         assert found.keys() == expected.keys()
         assert all(abs(found[i] - expected[i]) < 1e-9 for i in found)
@@ -142,7 +143,8 @@ def test_band_with_decimal_scores(spark):
     left = spark.createDataFrame([(1, "a", D("4.3"))], schema)
     right = spark.createDataFrame([("a", D(x), 1.0) for x in ("4.1", "4.2", "4.4", "4.5")], "k string, x decimal(4,1), p double")
     right = right.withColumn("p", F.col("x").cast("double"))
-    for form in (bandjoin.band_average, bandjoin.band_average_bucketed, bandjoin.band_average_salted):
+    for form in (bandjoin.band_average, bandjoin.band_average_bucketed, bandjoin.band_average_salted,
+                 bandjoin.band_average_running):
         out = form(left, right, ["k"], "x", "p", D("0.1"), ["rid"]).collect()
         assert len(out) == 1 and abs(out[0].avg_amount - 4.3) < 1e-9
 

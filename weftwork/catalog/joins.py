@@ -230,6 +230,11 @@ def band_join_salted(t: Tables):
     return _band_query(bandjoin.band_average_salted)(t)
 
 
+@query(_BAND_SQL)
+def band_join_running(t: Tables):
+    return _band_query(bandjoin.band_average_running)(t)
+
+
 @query("""
 WITH sums AS (
   SELECT p_brand, p_type, p_size, sum(CAST(l_extendedprice AS DECIMAL(28,2))) AS total, count(*) AS n

@@ -5,16 +5,20 @@ a ninth of the full product. A mean does not need the pairs: right amounts are f
 (keys, value), left rows are first reduced to distinct (keys, value), and only these meet. Both
 reductions happen map-side, so a hot key shrinks to its distinct values before any shuffle.
 
-The three forms differ in how the reduced tables meet; all give the same result.
+Three forms join the reduced tables, in different ways: they suit values that repeat, such as scores or sizes.
+The fourth joins nothing and suits any values: the sum over a band is the difference of two running sums.
+All give the same result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftwork.session import checkpointed
+
 
 def _reduced(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str, amount: str):
     probes = left.select(*keys, value).distinct()
@@ -28,9 +32,12 @@ def _averaged(
     left: DataFrame, met: DataFrame, keys: Sequence[str], value: str, width, row_columns: Sequence[str]
 ) -> DataFrame:
     near = met.where(F.abs(F.col(value) - F.col("__near")) <= F.lit(width))
-    means = near.groupBy(*keys, value).agg(
-        (F.sum("__sum").cast("double") / F.sum("__n")).alias("avg_amount")
-    )
+    sums = near.groupBy(*keys, value).agg(F.sum("__sum").alias("__sum"), F.sum("__n").alias("__n"))
+    return _per_row(left, sums, keys, value, row_columns)
+
+
+def _per_row(left: DataFrame, sums: DataFrame, keys: Sequence[str], value: str, row_columns: Sequence[str]) -> DataFrame:
+    means = sums.select(*keys, value, (F.col("__sum").cast("double") / F.col("__n")).alias("avg_amount"))
     return left.select(*row_columns, *keys, value).join(means, [*keys, value]).select(*row_columns, "avg_amount")
 
 
@@ -67,6 +74,45 @@ def band_average_salted(left, right, keys, value, amount, width, row_columns, sa
     return _averaged(left, met, keys, value, width, row_columns)
 
 
+def band_average_running(left, right, keys, value, amount, width, row_columns) -> DataFrame:
+    """Running sums at both ends of each band, subtracted; no row meets another row.
+
+    Values and band ends are put into one order, cut into ranges of even size wherever keys begin and
+    end, and summed within each range; a range starts from what the key's earlier ranges sum to. So a
+    key of any size is spread over tasks, with any number of distinct values. Values should be whole
+    numbers or decimals: with doubles the ends of a band are rounded.
+    """
+    probes, sums = _reduced(left, right, keys, value, amount)
+    own, none = F.col(value).alias("__own"), F.lit(0)
+    # At equal places a lower end comes before the values, and an upper end after them.
+    points = (
+        sums.select(*keys, F.col("__near").alias("__at"), F.lit(1).alias("__kind"),
+                    F.lit(None).cast(left.schema[value].dataType).alias("__own"), "__sum", "__n")
+        .union(probes.select(*keys, F.col(value) - F.lit(width), F.lit(0), own, none, none))
+        .union(probes.select(*keys, F.col(value) + F.lit(width), F.lit(2), own, none, none))
+    )
+    order = ["__at", "__kind"]
+    placed = checkpointed(
+        points.repartitionByRange(*keys, *order).withColumn("__range", F.spark_partition_id())
+    )
+    # One row per key and range: as many rows per key as there are ranges.
+    earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(*keys, "__range").agg(F.sum("__sum").alias("s"), F.sum("__n").alias("n")).select(
+        *keys, "__range", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("__s0"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__n0"),
+    )
+    so_far = Window.partitionBy(*keys, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    running = placed.select(
+        *keys, "__range", "__kind", "__own", F.sum("__sum").over(so_far).alias("__s"), F.sum("__n").over(so_far).alias("__c")
+    )
+    ends = running.where("__kind <> 1").join(starts, [*keys, "__range"])
+    sign = F.when(F.col("__kind") == 2, 1).otherwise(-1)
+    bands = ends.groupBy(*keys, F.col("__own").alias(value)).agg(
+        F.sum(sign * (F.col("__s") + F.col("__s0"))).alias("__sum"), F.sum(sign * (F.col("__c") + F.col("__n0"))).alias("__n")
+    )
+    return _per_row(left, bands.where("__n > 0"), keys, value, row_columns)
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: str, salts: int = 16, hot_keys: int = 1000
 ) -> DataFrame:
