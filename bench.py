@@ -70,7 +70,7 @@ def baseline_cases(spark) -> dict[str, float]:
     widened = [f"id * {i} AS newCol{i}" for i in range(30)]
     plain = right.selectExpr("id", *widened[1:]).hint("merge").join(left, "id")
     found["widen_then_join"] = timed(lambda: drain(plain))
-    early = joins.copartitioned_join(left, right.hint("merge"), "id").selectExpr("id", *widened[1:])
+    early = joins.copartitioned_join(left, right.hint("merge"), "id", int(CPUS)).selectExpr("id", *widened[1:])
     found["partition_then_widen"] = timed(lambda: drain(early))
 
     words = spark.range(2_000_000).select((F.xxhash64("id") % 50_000).alias("word"), (F.col("id") % 1000).alias("n"))
