@@ -28,7 +28,7 @@ CONFIDENT = 0.5
 ALIKE = 0.5  # of the pairs of words of the shorter side, those that the other side has too
 SAMPLE = 500  # documents whose paragraphs stand for ordinary text, at most
 FEATURES = 4096
-COMMON = 0.01  # share of the documents that have a common word
+COMMON = 0.002  # share of ordinary paragraphs that have a common word
 WINDOWS = (8, 14, 24)
 PENALTY, LASSO_SHARE = 2e-4, 0.5
 
@@ -164,9 +164,6 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
         texts.select(F.explode(F.split("text", "\n")).alias("text")).select(F.slice(_words(F.col("text")), 1, 40).alias("words"))
         .where(F.size("words") > 0).distinct()
     )
-    # Words that many documents have; an n-gram of such words alone is no feature.
-    in_texts = texts.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    common = [r["word"] for r in in_texts.where(F.col("n") >= max(2, COMMON * texts.count())).select("word").collect()]
     # A paragraph of which half is worded as in some template is no ordinary text.
     pairs = F.filter(_grams(F.col("words")), lambda g: F.instr(g, " ") > 0)
     known = templates.select(F.explode(pairs).alias("pair")).distinct().withColumn("known", F.lit(1))
@@ -175,6 +172,10 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
         .groupBy("words").agg(F.avg(F.coalesce("known", F.lit(0))).alias("share"))
         .where(F.col("share") < ALIKE).select(F.lit(ORDINARY).alias("family"), "words")
     )
+    plain = checkpointed(plain)
+    # Words that many ordinary paragraphs have; an n-gram of such words alone is no feature.
+    seen = plain.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    common = [r["word"] for r in seen.where(F.col("n") >= max(2, COMMON * plain.count())).select("word").collect()]
     others = spark.createDataFrame([(t,) for t in OTHERS], "text string").select(
         F.lit(ORDINARY).alias("family"), _words(F.col("text")).alias("words")
     )
