@@ -29,7 +29,7 @@ PRIOR = 10.0  # pseudo-counts of a word, shared out as in its class
 STEM_PRIOR = 30.0  # pseudo-counts of a class, shared out as in the corpus
 DRIFT = 0.4
 DEVIATIONS = 1.0  # how far below its estimate a word scores
-SAMPLE = 20_000  # labelled documents to learn from, at most
+SAMPLE = 10_000  # labelled documents to learn from, at most
 LEAST_COUNT = 2  # words seen less often score as their class
 
 
@@ -62,15 +62,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             of_doc = np.searchsorted(starts, borders[1:], side="left")
             of_word = np.repeat(np.arange(b - a), np.diff(of_doc, prepend=0))
             for kind, keys in ((0, words), (1, stems)):
-                unique, inverse = np.unique(keys, return_inverse=True)
+                unique, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
                 pairs = np.unique(of_word * len(unique) + inverse)  # a word counts once in a document
                 toxic, inverse = (labels[a:b] > 0)[pairs // max(1, len(unique))], pairs % max(1, len(unique))
                 ones = np.bincount(inverse, toxic, len(unique)).astype(np.int64)
                 alls = np.bincount(inverse, minlength=len(unique)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(unique), kind, np.int32)), pa.array(unique.view(np.int64)),
-                     pa.array(ones), pa.array(alls - ones)],
-                    names=["kind", "key", "toxic", "clean"],
+                     pa.array(stems[at].view(np.int64)), pa.array(ones), pa.array(alls - ones)],
+                    names=["kind", "key", "stem", "toxic", "clean"],
                 )
 
 
@@ -159,8 +159,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     none, empty = np.zeros(0, np.uint64), np.zeros(0, np.float32)
     chosen = labelled_sample(documents, labels, "toxic", 3, 1, sample)
     counts = (
-        chosen.mapInArrow(_count, "kind int, key long, toxic long, clean long")
-        .groupBy("kind", "key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        chosen.mapInArrow(_count, "kind int, key long, stem long, toxic long, clean long")
+        .groupBy("kind", "key", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where((F.col("kind") == 1) | (F.col("toxic") + F.col("clean") >= LEAST_COUNT))
         .toPandas()
     )
@@ -178,24 +178,11 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     stems, stem_toxic, stem_clean = stems[order], ones[1][order], zeros[1][order]
     share = (stem_toxic + STEM_PRIOR * base) / (stem_toxic + stem_clean + STEM_PRIOR)
     stem_scores = _scores_of(stem_toxic, stem_clean, base, STEM_PRIOR, base).astype(np.float32)
-    return _calibrated(chosen, words, ones[0], zeros[0], stems, share, stem_scores, stem_clean, base)
+    of_words = kinds[0]["stem"].to_numpy(np.int64).view(np.uint64)
+    return _calibrated(chosen, words, of_words, ones[0], zeros[0], stems, share, stem_scores, stem_clean, base)
 
 
-def _stem_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, b in slices(batch.column(0)):
-            *_, words, stems = _tokens(batch.column(0)[a:b])
-            unique, at = np.unique(words, return_index=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(unique.view(np.int64)), pa.array(stems[at].view(np.int64))], names=["key", "stem"]
-            )
-
-
-def _calibrated(chosen, words, toxic, clean, stems, share, stem_scores, stem_clean, base) -> Model:
-    of = chosen.mapInArrow(_stem_of_words, "key long, stem long").distinct().toPandas()
-    keys = of["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    stem_of = lookup(words, keys[order], of["stem"].to_numpy(np.int64).view(np.uint64)[order], np.uint64(0))
+def _calibrated(chosen, words, stem_of, toxic, clean, stems, share, stem_scores, stem_clean, base) -> Model:
     mean = lookup(stem_of, stems, share, base)
     scores = _scores_of(toxic, clean, mean, PRIOR, base).astype(np.float32)
     order = np.argsort(words)
