@@ -114,10 +114,12 @@ def test_ownership_golden(spark):
 
 def test_ownership_round_limit_and_names(spark):
     chain = spark.createDataFrame([(i, i + 1, 1.0) for i in range(12)], "src long, dst long, rate double")
-    reached = {r.id for r in ownership.control_shares(chain, max_rounds=3).where("origin = 0").collect()}
-    assert reached == {1, 2, 3}
+    reached = {r.id for r in ownership.control_shares(chain).where("origin = 0").collect()}
+    assert reached == set(range(1, 13))
+    with pytest.raises(RuntimeError):
+        ownership.control_shares(chain, max_rounds=3)
     names = spark.createDataFrame([(0, "zero"), (1, "one")], "key long, name string")
-    shares = ownership.control_shares(chain, max_rounds=1)
+    shares = ownership.control_shares(chain)
     rows = {(r.origin_name, r.held_name) for r in ownership.controllers(shares, names).collect()}
     assert ("zero", "one") in rows and ("one", None) in rows
 
@@ -223,3 +225,16 @@ def test_property_graph(spark):
 def test_path_rounds_are_bounded(spark):
     with pytest.raises(RuntimeError):
         graph.shortest_paths(edges_table(spark, FLIGHTS), landmark(spark, 4), max_rounds=1)
+
+
+def test_shares_do_not_depend_on_the_order_of_addition(spark):
+    edges = [(0, i, 0.1) for i in (1, 2, 3)] + [(i, 4, 1.0) for i in (1, 2, 3)] + [(4, 5, 0.4)]
+    shares = ownership.control_shares(spark.createDataFrame(edges, "src long, dst long, rate double"))
+    found = {r.id: r.share for r in shares.where("origin = 0").collect()}
+    assert found[4] == 0.3 and round(found[5], 9) == 0.12
+
+
+def test_negative_weights_are_refused(spark):
+    edges = spark.createDataFrame([(1, 2, -1.0)], "src long, dst long, w double")
+    with pytest.raises(ValueError):
+        graph.shortest_paths(edges, landmark(spark, 2), weight="w")

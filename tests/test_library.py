@@ -320,3 +320,11 @@ def test_sharing_impact(spark):
     impact = trips.sharing_impact(groups, rides, "fare").collect()
     assert len(impact) == 1 and impact[0].total_trips == 2 and impact[0].total_amount == 30.0
     assert abs(impact[0].total_impact - 2 * 0.05 * (0.3 * (0.6 * 20 - 5) + 0.7 * 2)) < 1e-9
+
+
+def test_full_years_of_a_leap_day(spark):
+    row = spark.sql("SELECT DATE '2000-02-29' AS born")
+    years = [
+        row.select(dates.full_years("born", F.lit(day).cast("date"))).first()[0] for day in ("2001-02-28", "2001-03-01", "2004-02-29")
+    ]
+    assert years == [0, 1, 4]

@@ -22,8 +22,10 @@ def day_age(column: str | Column, as_of: Column) -> Column:
 
 
 def full_years(column: str | Column, as_of: Column) -> Column:
-    """Completed calendar years."""
-    return F.floor(F.months_between(as_of, column, roundOff=False) / 12).cast("int")
+    """Completed calendar years; a birthday on 29 February is completed on 1 March of a common year."""
+    column = F.col(column) if isinstance(column, str) else column
+    early = F.month(as_of) * 100 + F.day(as_of) < F.month(column) * 100 + F.day(column)
+    return (F.year(as_of) - F.year(column) - early.cast("int")).cast("int")
 
 
 def from_epoch_ms(column: str | Column) -> Column:

@@ -6,6 +6,8 @@ the plan does not grow and a lost executor does not replay earlier rounds.
 
 from __future__ import annotations
 
+import itertools
+
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -62,12 +64,12 @@ def subgraph(
 
 
 def shortest_paths(
-    edges: DataFrame, landmarks: DataFrame, weight: str | None = None, max_rounds: int = 1_000,
+    edges: DataFrame, landmarks: DataFrame, weight: str | None = None, max_rounds: int | None = None,
     rewrite_below: int = 1_000_000,
 ) -> DataFrame:
     """Least distance along edge direction from each vertex to each landmark that it can reach.
 
-    ``landmarks`` has a column ``id``. Weights are not negative; without a weight edges count 1.
+    ``landmarks`` has a column ``id``. Negative weights are an error; without a weight edges count 1.
     Each round only sends from rows that improved in the last one, against the edges, and ends when
     none did. Parallel edges are reduced to the lightest one before the loop.
     Returns (id, landmark, distance).
@@ -80,9 +82,11 @@ def shortest_paths(
     light = checkpointed(
         edges.where("src <> dst").groupBy("src", "dst").agg(F.min(cost).alias("cost"))
     )
+    if weight is not None and not light.where("cost < 0").isEmpty():
+        raise ValueError("negative weights have no shortest path")
     known = landmarks.select("id", F.col("id").alias("landmark"), F.lit(0.0).alias("distance"))
     frontier, senders, size, improvements = known, None, 0, 0
-    for _ in range(max_rounds):
+    for done in itertools.count(1):
         offers = _offers(light, frontier, senders)
         few = senders is not None and size > rewrite_below and senders * 50 < size and improvements < 20
         if few:
@@ -99,8 +103,8 @@ def shortest_paths(
             size, senders, improvements = counted.size, counted.fresh, 0
         if senders == 0:
             break
-    else:
-        raise RuntimeError(f"no fixed point within {max_rounds} rounds")
+        if done == max_rounds:
+            raise RuntimeError(f"no fixed point within {max_rounds} rounds")
     if improvements:
         known = known.groupBy("id", "landmark").agg(F.min("distance").alias("distance"))
     return known

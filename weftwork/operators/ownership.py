@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,6 @@ from weftwork.session import checkpointed
 # at or below the second number are not passed on.
 CONTROL = 0.3
 NEGLIGIBLE = 0.001
-MAX_ROUNDS = 8
 
 
 def resolve_edges(edges: DataFrame, ids: DataFrame, kind: str, rate: str, as_percent: bool = True) -> DataFrame:
@@ -42,7 +43,7 @@ def unresolved_count(edges: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def control_shares(
-    edges: DataFrame, control: float = CONTROL, negligible: float = NEGLIGIBLE, max_rounds: int = MAX_ROUNDS
+    edges: DataFrame, control: float = CONTROL, negligible: float = NEGLIGIBLE, max_rounds: int | None = None
 ) -> DataFrame:
     """Share of every origin in every vertex below it, from edges (src, dst, rate).
 
@@ -51,13 +52,16 @@ def control_shares(
     are summed; the larger of the old share and this sum is kept. An edge stays active while its end gains
     a new origin in the round. Returns (origin, id, share) without an origin's row about itself.
 
+    Rounds go on until nothing is gained; with ``max_rounds`` the loop raises an error if that is not enough. Sums
+    are rounded to twelve places, so that the order of addition does not decide what is over ``control``.
+
     Shares are rows, not a map per vertex, so a vertex with very many origins is spread over tasks.
     """
     edges = checkpointed(edges.select("src", "dst", "rate"))
     ends = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
     shares = ends.select("id", F.col("id").alias("origin"), F.lit(1.0).alias("share"))
     active = edges
-    for _ in range(max_rounds):
+    for done in itertools.count(1):
         sent = F.when(F.col("share") > control, F.col("rate")).otherwise(F.col("rate") * F.col("share"))
         messages = (
             active.join(shares.where(F.col("share") > negligible), active["src"] == shares["id"])
@@ -67,13 +71,15 @@ def control_shares(
         # Old shares and messages meet in one aggregation, which also sums the messages map-side.
         merged = checkpointed(
             shares.select("id", "origin", "share", F.lit(None).cast("double").alias("sent")).union(messages)
-            .groupBy("id", "origin").agg(F.max("share").alias("old"), F.sum("sent").alias("sent"))
+            .groupBy("id", "origin").agg(F.max("share").alias("old"), F.round(F.sum("sent"), 12).alias("sent"))
             .select("id", "origin", F.greatest("old", "sent").alias("share"), F.col("old").isNull().alias("gained"))
         )
         shares = merged.select("id", "origin", "share")
         grown = merged.where("gained").select(F.col("id").alias("dst")).distinct()
         if grown.isEmpty():
             break
+        if done == max_rounds:
+            raise RuntimeError(f"shares still grow after {max_rounds} rounds")
         # Only ends of active edges can grow, so the edges of the next round follow from this round alone.
         active = edges.join(grown, "dst", "left_semi").select("src", "dst", "rate")
     return shares.where("origin <> id").select("origin", "id", "share")
