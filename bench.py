@@ -87,7 +87,7 @@ def baseline_cases(spark) -> dict[str, float]:
     guitars, sales = instruments(40_000, 1), instruments(200_000, 2)
     for name, form in (("plain", bandjoin.band_average), ("salted", bandjoin.band_average_salted),
                        ("bucketed", bandjoin.band_average_bucketed), ("running", bandjoin.band_average_running)):
-        means = form(guitars, sales, ["model"], "score", "price", 10, ["id"])
+        means = form(guitars, sales, ["model"], "score", "price", 10, ["id"], scale=2)
         found[f"skewed_band_{name}"] = timed(lambda: drain(means))
 
     records = spark.range(10_000_000).select((F.col("id") % 100).alias("age"), F.col("id").cast("string").alias("name"))

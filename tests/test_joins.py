@@ -130,11 +130,26 @@ def test_band_forms_agree_under_skew(spark, width):
     expected = brute_band(left, right, width)
     for form in (bandjoin.band_average, bandjoin.band_average_bucketed, bandjoin.band_average_salted,
                  bandjoin.band_average_running):
-        found = {r.rid: r.avg_amount for r in form(left_df, right_df, ["k"], "x", "price", width, ["rid"]).collect()}
+        out = form(left_df, right_df, ["k"], "x", "price", width, ["rid"], scale=2)
+        found = {r.rid: r.avg_amount for r in out.collect()}
         assert found.keys() == expected.keys()
         assert all(abs(found[i] - expected[i]) < 1e-9 for i in found)
 
 
+def test_band_amounts_keep_their_places(spark):
+    """Means of very small and very large amounts; the form that subtracts sums refuses doubles."""
+    left = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "rid long, k string, x int")
+    right = spark.createDataFrame([("a", 1, 0.00001), ("a", 2, 0.00003), ("b", 1, 1e17)], "k string, x int, p double")
+    for form in (bandjoin.band_average, bandjoin.band_average_bucketed, bandjoin.band_average_salted):
+        found = {r.rid: r.avg_amount for r in form(left, right, ["k"], "x", "p", 1, ["rid"]).collect()}
+        assert abs(found[1] - 0.00002) < 1e-15 and found[2] == 1e17
+    with pytest.raises(TypeError):
+        bandjoin.band_average_running(left, right, ["k"], "x", "p", 1, ["rid"])
+    scores = [df.withColumn("x", F.col("x").cast("double")) for df in (left, right)]
+    with pytest.raises(TypeError):
+        bandjoin.band_average_running(*scores, ["k"], "x", "p", 1, ["rid"], scale=2)
+
+
 def test_band_with_decimal_scores(spark):
     """Scores as decimals: a band of 0.1 holds both neighbours, which doubles cannot promise."""
     schema = "rid long, k string, x decimal(4,1)"
@@ -145,7 +160,7 @@ def test_band_with_decimal_scores(spark):
     right = right.withColumn("p", F.col("x").cast("double"))
     for form in (bandjoin.band_average, bandjoin.band_average_bucketed, bandjoin.band_average_salted,
                  bandjoin.band_average_running):
-        out = form(left, right, ["k"], "x", "p", D("0.1"), ["rid"]).collect()
+        out = form(left, right, ["k"], "x", "p", D("0.1"), ["rid"], scale=2).collect()
         assert len(out) == 1 and abs(out[0].avg_amount - 4.3) < 1e-9
 
 

@@ -193,10 +193,34 @@ def test_first_of_duplicates(spark):
 
 def test_collect_lists_splits_large_keys(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id")).alias("k"), "id")
-    rows = aggregate.collect_lists(df, "k", "id", row_id="id", max_length=100).collect()
-    hot = [r for r in rows if r.k == 0]
-    assert len(hot) == 9 and sorted(v for r in hot for v in r.collected) == list(range(900))
-    assert all(r.part == 0 for r in rows if r.k != 0)
+    rows = aggregate.collect_lists(df, "k", "id", length=100).collect()
+    hot = {r.part: r.collected for r in rows if r.k == 0}
+    assert hot == {i: list(range(100 * i, 100 * i + 100)) for i in range(9)}
+    assert all(r.part == 0 for r in rows if r.k != 0) and len(rows) == 109
+
+
+def test_collect_lists_of_ties_and_nulls(spark):
+    df = spark.createDataFrame([(None, 5), (None, 5), (None, 4), (1, None), (2, 7), (2, 7), (2, 7)], "k long, v long")
+    rows = aggregate.collect_lists(df, "k", "v", length=2).collect()
+    assert {(r.k, r.part): r.collected for r in rows} == {
+        (None, 0): [4, 5], (None, 1): [5], (2, 0): [7, 7], (2, 1): [7],
+    }
+    assert aggregate.collect_lists(df.limit(0), "k", "v").count() == 0
+
+
+def test_sums_keep_small_and_large_amounts(spark):
+    """Without a scale doubles are added as they are."""
+    df = spark.range(1000).select(F.lit("G").alias("g"), F.lit(0.001).alias("small"), F.lit(1e17).alias("large"))
+    row = aggregate.sum_numeric(df, F.lower("g"), "g").first()
+    assert abs(row.sum_small - 1.0) < 1e-9 and abs(row.sum_large / 1e20 - 1) < 1e-9
+    assert aggregate.sum_numeric(df, F.lower("g"), "g", scale=3).first().sum_small == 1.0
+
+
+def test_first_of_duplicates_reads_no_other_columns(spark):
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 1)], "k long, v string, o long").withColumn("wide", F.lit("x"))
+    kept = layout.first_of_duplicates(df, ["k"], ["o"], ["k", "v"])
+    assert kept.columns == ["k", "v"] and [tuple(r) for r in kept.collect()] == [(1, "a")]
+    assert "wide" not in kept._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_observation(spark):

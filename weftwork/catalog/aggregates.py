@@ -5,7 +5,11 @@ from pyspark.sql import functions as F
 from weftwork.catalog import Tables, query
 from weftwork.functions import udfs
 from weftwork.operators import aggregate
-from weftwork.operators.aggregate import exact_sum
+
+
+def money_sum(column: str):
+    """The tables hold amounts in cents."""
+    return aggregate.exact_sum(column, scale=2)
 
 
 def _sum(column: str, kind: str = "DECIMAL(28,2)") -> str:
@@ -14,10 +18,10 @@ def _sum(column: str, kind: str = "DECIMAL(28,2)") -> str:
 
 @query("""
 SELECT count(o_orderkey) AS with_order, count(*) AS all_rows
-FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 400000""")
+FROM customer LEFT JOIN orders ON c_custkey = (o_orderkey // 7) * 2""")
 def agg_counts(t: Tables):
-    big = t.orders.where("o_totalprice > 400000").select("o_orderkey", "o_custkey")
-    joined = t.customer.select("c_custkey").join(big, F.expr("c_custkey = o_custkey"), "left")
+    orders = t.orders.select("o_orderkey")
+    joined = t.customer.select("c_custkey").join(orders, F.expr("c_custkey = (o_orderkey div 7) * 2"), "left")
     return joined.agg(F.count("o_orderkey").alias("with_order"), F.count("*").alias("all_rows"))
 
 
@@ -31,7 +35,7 @@ SELECT min(l_quantity) AS lo, max(l_quantity) AS hi, {_sum('l_quantity')} AS tot
        {_sum('l_quantity')} / count(l_quantity) AS mean
 FROM lineitem""")
 def agg_basic(t: Tables):
-    total = exact_sum("l_quantity")
+    total = money_sum("l_quantity")
     return t.lineitem.agg(
         F.min("l_quantity").alias("lo"), F.max("l_quantity").alias("hi"), total.alias("total"),
         (total / F.count("l_quantity")).alias("mean"),
@@ -67,7 +71,7 @@ def group_count(t: Tables):
 
 @query(f"SELECT event_type, {_sum('value')} / count(value) AS mean FROM events GROUP BY 1")
 def group_avg(t: Tables):
-    return t.events.groupBy("event_type").agg((exact_sum("value") / F.count("value")).alias("mean"))
+    return t.events.groupBy("event_type").agg((money_sum("value") / F.count("value")).alias("mean"))
 
 
 @query(f"""
@@ -77,8 +81,8 @@ FROM part GROUP BY 1 ORDER BY mean_price""")
 def group_multi_agg(t: Tables):
     return (
         t.part.groupBy("p_brand").agg(
-            F.count("*").alias("parts"), exact_sum("p_retailprice").alias("total"), F.max("p_size").alias("largest"),
-            (exact_sum("p_retailprice") / F.count("*")).alias("mean_price"),
+            F.count("*").alias("parts"), money_sum("p_retailprice").alias("total"), F.max("p_size").alias("largest"),
+            (money_sum("p_retailprice") / F.count("*")).alias("mean_price"),
         ).orderBy("mean_price")
     )
 
@@ -104,14 +108,14 @@ FROM orders WHERE o_totalprice > 100000 AND o_orderstatus <> 'P' GROUP BY 1, 2 O
 def filtered_group_avg(t: Tables):
     return (
         t.orders.where("o_totalprice > 100000 AND o_orderstatus <> 'P'").groupBy("o_orderpriority", "o_orderstatus")
-        .agg((exact_sum("o_totalprice") / F.count("*")).alias("mean"))
+        .agg((money_sum("o_totalprice") / F.count("*")).alias("mean"))
         .orderBy(F.col("mean").desc_nulls_last())
     )
 
 
 @query(f"SELECT user_id, {_sum('value')} AS total FROM events GROUP BY 1")
 def sum_by_key(t: Tables):
-    return t.events.groupBy("user_id").agg(exact_sum("value").alias("total"))
+    return t.events.groupBy("user_id").agg(money_sum("value").alias("total"))
 
 
 _WORDS = "SELECT {keep} unnest(regexp_split_to_array(text, '\\s+')) AS word FROM documents"
@@ -179,7 +183,7 @@ SELECT lower(c_mktsegment) AS segment, CAST(sum(c_custkey) AS BIGINT) AS sum_c_c
        CAST(sum(c_nationkey) AS BIGINT) AS sum_c_nationkey, {_sum('c_acctbal')} AS sum_c_acctbal
 FROM customer GROUP BY 1""")
 def group_sum_all_numeric(t: Tables):
-    return aggregate.sum_numeric(t.customer, F.lower("c_mktsegment"), "segment")
+    return aggregate.sum_numeric(t.customer, F.lower("c_mktsegment"), "segment", scale=2)
 
 
 @query(f"""
@@ -194,9 +198,14 @@ def udf_lower_group(t: Tables):
 
 
 @query("""
-SELECT c_nationkey, 0 AS part, list_sort(list(c_custkey)) AS collected FROM customer GROUP BY 1""")
+WITH placed AS (
+  SELECT c_nationkey, c_custkey,
+         CAST((row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 20 AS INTEGER) AS part
+  FROM customer)
+SELECT c_nationkey, part, list_sort(list(c_custkey)) AS collected FROM placed GROUP BY 1, 2""")
 def group_collect(t: Tables):
-    return aggregate.collect_lists(t.customer, "c_nationkey", "c_custkey", row_id="c_custkey")
+    """Slices of 20, so that nations have several."""
+    return aggregate.collect_lists(t.customer, "c_nationkey", "c_custkey", length=20)
 
 
 @query("SELECT o_custkey, list_sort(list(DISTINCT o_orderpriority)) AS collected FROM orders GROUP BY 1")

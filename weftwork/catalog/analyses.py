@@ -103,7 +103,8 @@ i AS (SELECT *, total_trips * 0.05::DOUBLE AS grouped_rides,
 
 def _impact(t: Tables):
     small = F.col("value") < 100
-    return trips.sharing_impact(trips.sharing_groups(t.events, "ts", "event_type", "value", small), t.events, "value")
+    groups = trips.sharing_groups(t.events, "ts", "event_type", "value", small, scale=2)
+    return trips.sharing_impact(groups, t.events, "value", scale=2)
 
 
 @query(_GROUPS + """
@@ -165,9 +166,9 @@ def best_dept(t: Tables):
     return people.best_department(_by_department(t), departments)
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT (o_orderkey // 7) * 2 FROM orders)")
 def never_ordered(t: Tables):
-    ordered = t.orders.where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
+    ordered = t.orders.select(F.expr("(o_orderkey div 7) * 2").alias("c_custkey"))
     return people.never_in(t.customer.select("c_custkey", "c_name"), ordered, "c_custkey")
 
 
@@ -190,7 +191,7 @@ SELECT p_brand, CAST(sum(p_size) AS DOUBLE) / count(p_size) AS mean_rating,
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def report_by_group(t: Tables):
     joined = t.lineitem.join(t.part, F.expr("l_partkey = p_partkey")).select("p_brand", "p_size", "l_extendedprice")
-    return reports.group_report(joined, "p_brand", "p_size", "l_extendedprice")
+    return reports.group_report(joined, "p_brand", "p_size", "l_extendedprice", scale=2)
 
 
 @query("""

@@ -234,8 +234,12 @@ def gang_triples(t: Tables):
 
 
 @query(_TRIPLES.format(least=3) + """,
-met AS (SELECT l.m AS member, m1, m2, m3, c FROM triples JOIN occurrences USING (m1, m2, m3) JOIN l USING (c))
-SELECT member, m1 || ',' || m2 || ',' || m3 AS triple, 0 AS part, string_agg(c::VARCHAR, ',' ORDER BY c) AS cases
-FROM met GROUP BY member, m1, m2, m3 HAVING count(*) >= 3""")
+met AS (SELECT l.m AS member, m1, m2, m3, c FROM triples JOIN occurrences USING (m1, m2, m3) JOIN l USING (c)),
+placed AS (
+  SELECT *, count(*) OVER triple AS n, CAST((row_number() OVER (triple ORDER BY c) - 1) // 2 AS INTEGER) AS part
+  FROM met WINDOW triple AS (PARTITION BY member, m1, m2, m3))
+SELECT member, m1 || ',' || m2 || ',' || m3 AS triple, part, string_agg(c::VARCHAR, ',' ORDER BY c) AS cases
+FROM placed WHERE n >= 3 GROUP BY member, m1, m2, m3, part""")
 def gang_members(t: Tables):
-    return gangs.gang_report(gangs.gang_members(_links(t)))
+    """Lines of two cases, so that every list of three has several."""
+    return gangs.gang_report(gangs.gang_members(_links(t)), length=2)

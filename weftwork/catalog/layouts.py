@@ -8,11 +8,10 @@ from weftwork.operators import layout
 
 @query("""
 SELECT c_custkey, o_orderkey, o_totalprice
-FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 450000) ON c_custkey = o_custkey
+FROM customer LEFT JOIN orders ON c_custkey = (o_orderkey // 7) * 2
 ORDER BY o_totalprice DESC NULLS LAST, c_custkey, o_orderkey""")
 def order_nulls_last(t: Tables):
-    big = t.orders.where("o_totalprice > 450000")
-    joined = t.customer.join(big, F.expr("c_custkey = o_custkey"), "left")
+    joined = t.customer.join(t.orders, F.expr("c_custkey = (o_orderkey div 7) * 2"), "left")
     return joined.select("c_custkey", "o_orderkey", "o_totalprice").orderBy(
         F.col("o_totalprice").desc_nulls_last(), "c_custkey", "o_orderkey"
     )
@@ -67,5 +66,5 @@ def distinct_vals(t: Tables):
 SELECT event_id, user_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1""")
 def dedup_subset(t: Tables):
-    kept = layout.first_of_duplicates(t.events, ["user_id", "event_type"], ["ts", "event_id"])
-    return kept.select("event_id", "user_id", "event_type", "value")
+    columns = ["event_id", "user_id", "event_type", "value"]
+    return layout.first_of_duplicates(t.events, ["user_id", "event_type"], ["ts", "event_id"], columns)

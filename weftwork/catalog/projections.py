@@ -73,11 +73,10 @@ def regex_any(t: Tables):
 
 
 @query("""
-SELECT c_custkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 400000
+SELECT c_custkey FROM customer LEFT JOIN orders ON c_custkey = (o_orderkey // 7) * 2
 WHERE o_orderkey IS NULL""")
 def null_filter(t: Tables):
-    big = t.orders.where("o_totalprice > 400000").select("o_orderkey", "o_custkey")
-    joined = t.customer.join(big, F.col("c_custkey") == F.col("o_custkey"), "left")
+    joined = t.customer.join(t.orders.select("o_orderkey"), F.expr("c_custkey = (o_orderkey div 7) * 2"), "left")
     return joined.where(F.col("o_orderkey").isNull()).select("c_custkey")
 
 

@@ -74,11 +74,10 @@ def register_dataset(t: Tables):
     return t.spark.table("weft_supplier")
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderpriority = '2-HIGH'")
+@query("SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
 def scan_parquet(t: Tables):
     path = files.write_files(t.orders, scratch_path(t.spark, "parquet"), "parquet")
-    scanned = files.read_parquet(t.spark, path, "o_orderkey", "o_totalprice", "o_orderpriority")
-    return scanned.where("o_orderpriority = '2-HIGH'").drop("o_orderpriority")
+    return files.read_parquet(t.spark, path, "o_orderkey", "o_totalprice", "o_orderpriority")
 
 
 @query("""
@@ -149,7 +148,7 @@ def partitioned_bucketed_agg(t: Tables):
     )
     return (
         table.where("o_orderstatus = 'F'").groupBy("o_custkey")
-        .agg((exact_sum("o_totalprice") / F.count("*")).alias("mean"), F.count("*").alias("n"))
+        .agg((exact_sum("o_totalprice", 2) / F.count("*")).alias("mean"), F.count("*").alias("n"))
     )
 
 

@@ -177,11 +177,11 @@ def stream_money(t: Tables):
     return run_to_table(windows.word_value(said, "ts", "word", "30 seconds", "10 seconds", min_length=6), "complete")
 
 
-@query("SELECT event_id, event_type, value FROM events WHERE event_type <> 'view'")
+@query("SELECT event_id, event_type, value FROM events")
 def stream_foreach_batch(t: Tables):
     """Every batch in its own numbered folder of JSON files."""
     out = scratch_path(t.spark, "batches")
-    stream = _events(t).where("event_type <> 'view'").select("event_id", "event_type", "value")
+    stream = _events(t).select("event_id", "event_type", "value")
     sinks.start_batches(stream, sinks.batch_files(out), scratch_path(t.spark, "checkpoint")).awaitTermination()
     written = sinks.read_batches(t.spark, out, "event_id bigint, event_type string, value double, batch int")
     return written.drop("batch")

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftwork.session import checkpointed
 
-def exact_sum(column: str | Column, scale: int = 2) -> Column:
-    """A sum of money-like doubles that does not depend on the order of addition."""
+
+def exact_sum(column: str | Column, scale: int | None = None) -> Column:
+    """A sum in the column's own type; with ``scale`` one of doubles rounded to that many places.
+
+    Rounded doubles are summed as decimals, so that the sum does not depend on the order of addition. That is for
+    amounts known to have no more places.
+    """
     value = F.col(column) if isinstance(column, str) else column
-    return F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(value) if scale is None else F.sum(value.cast(f"decimal(28,{scale})")).cast("double")
 
 
 def profile(df: DataFrame, column: str, threshold: float) -> DataFrame:
@@ -87,32 +93,49 @@ def repeat_histogram(df: DataFrame, batch: str, key: str) -> DataFrame:
     return per_key.groupBy("multiplier").agg(F.count("*").alias("cnt"))
 
 
-def sum_numeric(df: DataFrame, group: Column, name: str) -> DataFrame:
-    """Sums of every numeric column per group. Names are kept with a ``sum_`` before them."""
-    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+def sum_numeric(df: DataFrame, group: Column, name: str, scale: int | None = None) -> DataFrame:
+    """Sums of every numeric column per group. Names are kept with a ``sum_`` before them.
+
+    With ``scale`` floating columns are rounded to that many places before they are added, as in ``exact_sum``.
+    """
+    floating = (T.DoubleType, T.FloatType)
     sums = [
-        (exact_sum(c) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.sum(c)).alias(f"sum_{c}")
-        for c in numeric
+        exact_sum(f.name, scale if isinstance(f.dataType, floating) else None).alias(f"sum_{f.name}")
+        for f in df.schema.fields if isinstance(f.dataType, T.NumericType)
     ]
     return df.groupBy(group.alias(name)).agg(*sums)
 
 
 def collect_lists(
-    df: DataFrame, key: str, value: str, row_id: str, max_length: int = 100_000
+    df: DataFrame, keys: str | Sequence[str], value: str, row_id: str | None = None, length: int = 10_000
 ) -> DataFrame:
-    """Sorted values per key as arrays of about ``max_length`` elements at most, numbered by ``part``.
+    """The sorted values of each key in slices of ``length`` elements, the last one shorter, numbered by ``part`` from 0.
 
-    A key with more values gets several rows, its values spread by a hash of ``row_id``: no value is
-    dropped and no group is gathered whole in one task. A key within the limit has the one part 0.
+    The rule is the same for keys of any size. Rows are put into one order, cut into ranges of even size wherever keys
+    begin and end; a value's place is its place in its range plus what the key's earlier ranges hold. So no group is
+    gathered in one task. ``row_id`` tells equal values apart, for a value that repeats very often. Null values are
+    left out, null keys are a key.
     """
-    sizes = df.groupBy(key).agg(F.count(value).alias("__n"))
-    parts = sizes.select(key, F.ceil(F.col("__n") / max_length).cast("int").alias("__parts")).where("__parts > 1")
-    spread = df.join(parts, key, "left").withColumn(
-        "part",
-        F.when(F.col("__parts").isNull(), 0)
-        .otherwise(F.pmod(F.xxhash64(row_id), F.col("__parts")).cast("int")),
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order = [*keys, value, *([row_id] if row_id and row_id not in (*keys, value) else [])]
+    placed = checkpointed(
+        df.where(F.col(value).isNotNull()).select(*order).repartitionByRange(*order)
+        .select(*keys, value, F.spark_partition_id().alias("__range"))
+    )
+    earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(*keys, "__range").agg(F.count("*").alias("__n")).select(
+        *[F.col(k).alias(f"__{k}") for k in keys], F.col("__range").alias("__of"),
+        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"),
+    )
+    same = F.col("__range") == F.col("__of")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"__{k}"))
+    within = F.row_number().over(Window.partitionBy(*keys, "__range").orderBy(value))
+    part = F.floor((F.col("__start") + F.col("__place") - 1) / length).cast("int").alias("part")
+    return (
+        placed.withColumn("__place", within).join(starts, same).select(*keys, value, part)
+        .groupBy(*keys, "part").agg(F.sort_array(F.collect_list(value)).alias("collected"))
     )
-    return spread.groupBy(key, "part").agg(F.sort_array(F.collect_list(value)).alias("collected"))
 
 
 def collect_distinct(df: DataFrame, key: str, value: str) -> DataFrame:

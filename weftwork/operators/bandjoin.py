@@ -7,7 +7,8 @@ reductions happen map-side, so a hot key shrinks to its distinct values before a
 
 Three forms join the reduced tables, in different ways: they suit values that repeat, such as scores or sizes.
 The fourth joins nothing and suits any values: the sum over a band is the difference of two running sums.
-All give the same result.
+All give the same result; the fourth refuses doubles, with which it could not. Amounts are added in their own type, or, with
+``scale``, as decimals of that many places, so that the mean does not depend on the order of addition.
 """
 
 from __future__ import annotations
@@ -16,14 +17,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftwork.session import checkpointed
 
 
-def _reduced(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str, amount: str):
+def _reduced(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str, amount: str, scale: int | None):
     probes = left.select(*keys, value).distinct()
+    total = F.col(amount) if scale is None else F.col(amount).cast(f"decimal(28,{scale})")
     sums = right.groupBy(*keys, F.col(value).alias("__near")).agg(
-        F.sum(F.col(amount).cast("decimal(18,4)")).alias("__sum"), F.count(amount).alias("__n")
+        F.sum(total).alias("__sum"), F.count(amount).alias("__n")
     )
     return probes, sums
 
@@ -41,9 +44,9 @@ def _per_row(left: DataFrame, sums: DataFrame, keys: Sequence[str], value: str,
     return left.select(*row_columns, *keys, value).join(means, [*keys, value]).select(*row_columns, "avg_amount")
 
 
-def band_average(left, right, keys, value, amount, width, row_columns) -> DataFrame:
+def band_average(left, right, keys, value, amount, width, row_columns, scale: int | None = None) -> DataFrame:
     """Equi join on the keys; the band is a filter on the joined rows."""
-    probes, sums = _reduced(left, right, keys, value, amount)
+    probes, sums = _reduced(left, right, keys, value, amount, scale)
     return _averaged(left, probes.join(sums, list(keys)), keys, value, width, row_columns)
 
 
@@ -51,38 +54,46 @@ def _bucket(column: str, width):
     return F.floor(F.col(column) / F.lit(width)).cast("long")
 
 
-def band_average_bucketed(left, right, keys, value, amount, width, row_columns) -> DataFrame:
+def band_average_bucketed(left, right, keys, value, amount, width, row_columns, scale: int | None = None) -> DataFrame:
     """Values cut into buckets one band wide: a probe meets its own bucket and the two beside it.
 
     For many distinct values per key: a probe reads three buckets, not the whole key.
     The filter stays, since a neighbour bucket also holds values that are too far.
     """
-    probes, sums = _reduced(left, right, keys, value, amount)
-    reach = F.explode(F.array(*[_bucket(value, width) + step for step in (-1, 0, 1)]))
+    probes, sums = _reduced(left, right, keys, value, amount, scale)
+    reach =F.explode(F.array(*[_bucket(value, width) + step for step in (-1, 0, 1)]))
     met = probes.withColumn("__bucket", reach).join(
         sums.withColumn("__bucket", _bucket("__near", width)), [*keys, "__bucket"]
     )
     return _averaged(left, met, keys, value, width, row_columns)
 
 
-def band_average_salted(left, right, keys, value, amount, width, row_columns, salts: int = 16) -> DataFrame:
+def band_average_salted(
+    left, right, keys, value, amount, width, row_columns, salts: int = 16, scale: int | None = None
+) -> DataFrame:
     """One key's right side spread over ``salts`` parts by a hash of its value; probes go to every part."""
-    probes, sums = _reduced(left, right, keys, value, amount)
+    probes, sums = _reduced(left, right, keys, value, amount, scale)
     met = probes.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).join(
         sums.withColumn("__salt", F.pmod(F.xxhash64("__near"), F.lit(salts)).cast("int")), [*keys, "__salt"]
     )
     return _averaged(left, met, keys, value, width, row_columns)
 
 
-def band_average_running(left, right, keys, value, amount, width, row_columns) -> DataFrame:
+def band_average_running(left, right, keys, value, amount, width, row_columns, scale: int | None = None) -> DataFrame:
     """Running sums at both ends of each band, subtracted; no row meets another row.
 
     Values and band ends are put into one order, cut into ranges of even size wherever keys begin and
     end, and summed within each range; a range starts from what the key's earlier ranges sum to. So a
-    key of any size is spread over tasks, with any number of distinct values. Values should be whole
-    numbers or decimals: with doubles the ends of a band are rounded.
+    key of any size is spread over tasks, with any number of distinct values. Values must be whole
+    numbers or decimals, since the ends of a band of doubles are rounded, and so must amounts, unless ``scale`` makes
+    them decimals, since small sums would be lost in the difference of large ones.
     """
-    probes, sums = _reduced(left, right, keys, value, amount)
+    floating = (T.DoubleType, T.FloatType)
+    if isinstance(left.schema[value].dataType, floating) or isinstance(right.schema[value].dataType, floating):
+        raise TypeError(f"{value} must be whole numbers or decimals")
+    if scale is None and isinstance(right.schema[amount].dataType, floating):
+        raise TypeError(f"{amount} must be whole numbers or decimals, or a scale be given")
+    probes, sums = _reduced(left, right, keys, value, amount, scale)
     own, none = F.col(value).alias("__own"), F.lit(0)
     # At equal places a lower end comes before the values, and an upper end after them.
     points = (

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftwork.operators.aggregate import collect_lists
 from weftwork.session import checkpointed
 
 TRIPLE = ["m1", "m2", "m3"]
@@ -182,16 +183,9 @@ def gang_members(links: DataFrame, min_cases: int = MIN_CASES, light: int | None
     return inside.unionByName(joined_in.select("member", *TRIPLE, "case"))
 
 
-def gang_report(rows: DataFrame, max_cases: int = 10_000) -> DataFrame:
-    """One line per member and triple with the case list as text.
-
-    A triple with more than ``max_cases`` cases is written on several lines, numbered by ``part``.
-    """
-    key = ["member", *TRIPLE]
-    sizes = rows.groupBy(*key).agg(F.ceil(F.count("*") / max_cases).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("case"), F.col("parts")).cast("int").alias("part")
-    cases = F.array_join(F.sort_array(F.collect_list("case")).cast("array<string>"), ",").alias("cases")
-    return (
-        rows.join(sizes, key).select(*key, part, "case").groupBy(*key, "part").agg(cases)
-        .select("member", F.concat_ws(",", *TRIPLE).alias("triple"), "part", "cases")
+def gang_report(rows: DataFrame, length: int = 1_000) -> DataFrame:
+    """Per member and triple the sorted list of cases as text, on lines of ``length`` cases numbered by ``part`` from 0."""
+    cases = F.array_join(F.col("collected").cast("array<string>"), ",").alias("cases")
+    return collect_lists(rows, ["member", *TRIPLE], "case", length=length).select(
+        "member", F.concat_ws(",", *TRIPLE).alias("triple"), "part", cases
     )

@@ -49,32 +49,32 @@ def bounded_product(left: DataFrame, right: DataFrame, max_rows: int = 10_000) -
 
 
 def array_member_join(
-    left: DataFrame, right: DataFrame, array: str, left_key: str, right_key: str, how: str = "inner"
+    left: DataFrame, right: DataFrame, array: str, left_key: str, right_key: str, how: str = "inner",
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join where ``right_key`` is an element of the left ``array``; ``how`` is inner or full.
 
-    The membership test would be a nested loop over both tables. One row per distinct element
-    makes it an equi join. ``left_key`` identifies left rows and is needed for the full form only.
+    The membership test would be a nested loop over both tables. One row per distinct element, with no more than
+    ``left_key`` beside it, makes it an equi join. ``left_key`` identifies left rows and is not null. Of the left
+    ``columns``, by default all, those beside the key are joined back to what matched.
     """
-    exploded = left.withColumn("__member", F.explode(F.array_distinct(array)))
-    matched = exploded.join(right, F.col("__member") == right[right_key])
-    inner = matched.drop("__member")
-    if how == "inner":
-        return inner
-    if how != "full":
+    if how not in ("inner", "full"):
         raise ValueError("how is inner or full")
-    wanted = exploded.select(F.col("__member").alias("__wanted")).distinct()
+    columns = list(columns or left.columns)
+    members = left.select(F.col(left_key).alias("__row"), F.explode(F.array_distinct(array)).alias("__member"))
+    # A right join keeps unmatched right rows as well, with a null __row.
+    met = members.join(right, F.col("__member") == right[right_key], "inner" if how == "inner" else "right")
+    sides = {c: F.col("__row") if c == left_key else F.col(c) for c in columns}
+    if set(columns) - {left_key}:
+        met = met.join(left.select(F.col(left_key).alias("__key"), *[c for c in columns if c != left_key]),
+                       F.col("__row") == F.col("__key"), "inner" if how == "inner" else "left")
+    pairs = met.select(*[c.alias(name) for name, c in sides.items()], *right.columns)
+    if how == "inner":
+        return pairs
     known = right.select(F.col(right_key).alias("__known")).distinct()
-    has_match = (
-        exploded.select(F.col(left_key).alias("__row"), "__member")
-        .join(known, F.col("__member") == F.col("__known"), "left_semi")
-        .select("__row")
-    )
-    left_only = left.join(has_match, left[left_key] == F.col("__row"), "left_anti")
-    right_only = right.join(wanted, right[right_key] == F.col("__wanted"), "left_anti")
-    return inner.unionByName(left_only, allowMissingColumns=True).unionByName(
-        right_only, allowMissingColumns=True
-    )
+    has_match = members.join(known, F.col("__member") == F.col("__known"), "left_semi").select("__row")
+    left_only = left.join(has_match, left[left_key] == F.col("__row"), "left_anti").select(*columns)
+    return pairs.unionByName(left_only, allowMissingColumns=True)
 
 
 def copartitioned_join(

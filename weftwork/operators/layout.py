@@ -56,8 +56,14 @@ def union_distinct(*frames: DataFrame) -> DataFrame:
     return union_all(*frames).distinct()
 
 
-def first_of_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One whole row per key, the first by ``order``; unlike ``dropDuplicates`` always the same one."""
-    rest = [c for c in df.columns if c not in keys]
+def first_of_duplicates(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per key, the first by ``order``; unlike ``dropDuplicates`` always the same one.
+
+    Only ``columns``, by default all, the keys and the order are read.
+    """
+    columns = list(columns or df.columns)
+    rest = [c for c in columns if c not in keys]
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("__first")
-    return df.groupBy(*keys).agg(first).select(*keys, "__first.*").select(*df.columns)
+    return df.groupBy(*keys).agg(first).select(*keys, "__first.*").select(*columns)

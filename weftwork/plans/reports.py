@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftwork.operators.aggregate import exact_sum
+
 
 def gross(*parts: str, name: str = "total_gross") -> Column:
     """Sum of several columns of a row; null if any of them is null."""
@@ -16,11 +18,11 @@ def gross(*parts: str, name: str = "total_gross") -> Column:
     return total.alias(name)
 
 
-def group_report(df: DataFrame, group: str, rating: str, amount: str) -> DataFrame:
-    """Mean rating and total amount per group, best rating first, groups without rating last."""
+def group_report(df: DataFrame, group: str, rating: str, amount: str, scale: int | None = None) -> DataFrame:
+    """Mean rating and total amount per group, best rating first, groups without rating last. ``scale``: see ``exact_sum``."""
     return (
         df.groupBy(group)
-        .agg(F.avg(rating).alias("mean_rating"), F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("total"))
+        .agg(F.avg(rating).alias("mean_rating"), exact_sum(amount, scale).alias("total"))
         .orderBy(F.col("mean_rating").desc_nulls_last(), group)
     )
 

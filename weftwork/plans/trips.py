@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.functions.dates import from_epoch_seconds, nearest_slot
-from weftwork.operators.aggregate import count_groups
+from weftwork.operators.aggregate import count_groups, exact_sum
 from weftwork.operators.joins import double_lookup
 
 TOTAL = "total_trips"
@@ -82,26 +82,25 @@ class SharingModel:
 
 
 def sharing_groups(
-    trips: DataFrame, time: str, zone: str, fare: str, small_party: Column, model: SharingModel = SharingModel()
+    trips: DataFrame, time: str, zone: str, fare: str, small_party: Column, model: SharingModel = SharingModel(),
+    scale: int | None = None,
 ) -> DataFrame:
-    """Trips and revenue of small parties per zone and time slot."""
+    """Trips and revenue of small parties per zone and time slot. ``scale`` is that of ``exact_sum``."""
     return (
         trips.where(small_party)
         .select(nearest_slot(time, model.slot_seconds).alias("slot"), zone, fare)
         .groupBy("slot", zone)
-        .agg(F.count("*").alias(TOTAL), F.sum(F.col(fare).cast("decimal(18,2)")).cast("double").alias("total_amount"))
+        .agg(F.count("*").alias(TOTAL), exact_sum(fare, scale).alias("total_amount"))
         .withColumn("approximate_datetime", from_epoch_seconds(F.col("slot") * model.slot_seconds))
         .drop("slot")
     )
 
 
 def sharing_impact(
-    groups: DataFrame, trips: DataFrame, fare: str, model: SharingModel = SharingModel()
+    groups: DataFrame, trips: DataFrame, fare: str, model: SharingModel = SharingModel(), scale: int | None = None
 ) -> DataFrame:
     """Adds the expected impact per group. The mean fare of all trips is a scalar subquery."""
-    mean_fare = trips.agg(
-        (F.sum(F.col(fare).cast("decimal(18,2)")).cast("double") / F.count(fare)).alias("mean_fare")
-    ).scalar()
+    mean_fare = trips.agg((exact_sum(fare, scale) / F.count(fare)).alias("mean_fare")).scalar()
     grouped = F.col(TOTAL) * model.grouped
     accepted = F.col("grouped_rides") * model.accepted * (mean_fare * model.cost_share - model.discount)
     rejected = F.col("grouped_rides") * (1 - model.accepted) * model.extra_cost
