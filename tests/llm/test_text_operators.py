@@ -95,6 +95,16 @@ def test_packing_round_trip(real):
     assert sum(sum(n for _, n in w) < 2048 for w in windows.values()) <= 3
 
 
+def test_packing_added_tokens(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "one \n<|endoftext|>\n two", "<|endoftext", "a <|endoftext|>"]
+    pieces = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()
+    ids = {d: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], "<u4") for d, t in enumerate(texts)}
+    assert {p.doc_id: (p.doc_tokens, p.ids_crc32) for p in pieces if p.length == p.doc_tokens} == {
+        d: (len(x), zlib.crc32(x.tobytes())) for d, x in ids.items()
+    }
+
+
 def test_packing_empties_windows():
     packer = packing.Packer(0, window=16)
     sizes = [5, 7, 9, 3, 40, 1, 16, 11, 13]
