@@ -134,6 +134,26 @@ def test_leaks_with_other_values(spark, documents, nothing):
     assert decontaminate.remove_leaks(documents, items).count() == documents.count()
 
 
+def test_leaks_by_place(spark):
+    template = "Yesterday {0} bought {1} apples for {2} euros and then {0} sold {1} apples to {3}."
+    items = spark.createDataFrame([
+        (1, template.format("Tom", 9, 2, "Ben")), (2, "Oslo 45 km"),
+        (3, "Tom 5 Ann 7 Bob 9 Jim 11 what is the total of Eve 3 Kim 8 Leo 2 Max 6 Sue 1"),
+        (4, "the box of 5 pens costs 5 coins and 5 nails"),
+    ], "item_id long, text string")
+    copies = [template.format(*x) for x in (("Tom", 9, 2, "Ben"), ("Anna", 4, 8, "Eve"), ("Carl", 6, 3, "Max"))]
+    places = " we ran on to Paris 7 miles, then Rome 8 km, " * 40
+    docs = spark.createDataFrame([
+        (1, " so it was and ".join(copies)), (2, " so it was and ".join(copies[1:])), (3, "the box of 1 pens costs 2 coins and 3 nails"), (4, places + "near Oslo 45 km" + places),
+        (5, places), (6, "He asked what is the total of it all and left."),
+        (7, "Ann 1 Eve 2 Kim 3 Leo 4 what is the total of Tom 5 Ben 6 Max 7 Sue 8 Jim 9"),
+        (8, copies[0].replace("euros and then", "euros and so then")),
+    ], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.coverage, r.consistency) for r in decontaminate.leaks(docs, items).collect()}
+    assert set(found) == {(1, 1), (2, 1), (4, 2), (7, 3), (8, 1)}
+    assert found[1, 1] == found[2, 1] == found[4, 2] == (1.0, 1.0)
+
+
 PAGE = """<html><head><title>T</title><script>if (a < b) { x = "<p>no</p>"; }</script></head><body><header>Site</header>
 <nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice">We use cookies</div>
 <div id="main">@</div><div class="sidebar"><p>Other news of the day and of the week</p></div>

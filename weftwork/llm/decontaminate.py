@@ -1,14 +1,18 @@
 """Benchmark passages in documents, also with other numbers, names and units.
 
 Numbers, capitalised words and units of measure become typed placeholders. Windows of five such words are hashed on both sides and
-joined. A document holds an item if the windows that it shares cover at least 0.8 of the item's words and the values in
-their placeholders are consistent: what stands for one value of the item is one value in the document.
+joined; each shared window gives a place in the document where the item may stand. There all windows of the item are compared with the
+document. A document holds an item if at one place the windows that agree cover at least 0.8 of the item's words and the values in
+their placeholders are consistent: what stands for one value of the item is one value at that place. Of several places
+the one with the largest coverage, then consistency, is reported. Windows may be shifted against each other by a fifth of the item.
 
-A window counts if three of its words are no placeholders; an item without such a window counts all its windows, and an item of
-fewer than five words is one window. Windows of documents pass a Bloom filter of fixed size before they are shuffled.
+Places come from windows in which three words are no placeholders; an item without such a window uses all its windows, and an item of
+fewer than five words is one window. In an item with fewer than three words (or, if it is shorter, all its words) that are no placeholders,
+the placeholders tell nothing: consistency is then the share of values that are the item's own. Windows of documents pass a Bloom filter
+of fixed size before they are shuffled, and only texts with a possible place are read again.
 
 Defined cases: null and empty texts and items hold nothing and are found nowhere; repeated documents or items give a row for each
-pair of rows; all columns but the ids and texts are ignored.
+pair of rows; a document is known by its text, so ids may be null or repeated; all columns but the ids and texts are ignored.
 """
 
 from __future__ import annotations
@@ -17,11 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.llm.textbytes import WORD_BYTES, flat, hashes, mix, runs, slices
+from weftwork.session import scratch_path
 
 WIDTH = 5
 LITERALS = 3
@@ -104,34 +108,27 @@ def _window_rows(texts: pa.Array, widths: list[int]):
         yield width, hashed[inside], doc[start], start - of_doc[doc[start]], literal[start + width] - literal[start], start, slots
 
 
-def _slot_arrays(slots: np.ndarray, start: np.ndarray, width: int) -> pa.Array:
-    matrix = slots[start[:, None] + np.arange(width)].view(np.int64)
-    offsets = pa.array(np.arange(len(start) + 1, dtype=np.int32) * width)
-    return pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel()))
+def _rows(texts: pa.Array, rows: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([texts.take(pa.array(rows)), *[pa.array(c) for c in columns.values()]], names=["tag", *columns])
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    serial = TaskContext.get().partitionId() << 33
+    """Windows from which places come, of rows (tag, text)."""
     for batch in batches:
         for a, b in slices(batch.column(1)):
             texts = batch.column(1)[a:b]
             lengths = np.diff(template_words(texts)[2])
-            for width, hashed, doc, pos, literal, start, slots in _window_rows(texts, list(range(1, WIDTH + 1))):
+            for width, hashed, doc, pos, literal, _, _ in _window_rows(texts, list(range(1, WIDTH + 1))):
                 mine = (lengths[doc] >= WIDTH) if width == WIDTH else (lengths[doc] == width)
                 enough = literal >= min(LITERALS, width)
                 any_enough = np.zeros(len(texts), bool)
                 any_enough[doc[enough & mine]] = True
                 at = np.flatnonzero(mine & (enough | ~any_enough[doc]))
-                if not len(at):
-                    continue
-                covered = [len({p + k for p in pos[at[doc[at] == d]].tolist() for k in range(width)}) for d in range(len(texts))]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(hashed[at].view(np.int64)), pa.array(serial + a + doc[at]),
-                    batch.column(0)[a:b].take(pa.array(doc[at])), pa.array(pos[at].astype(np.int32)),
-                    pa.array(np.full(len(at), width, np.int32)), pa.array(np.array(covered)[doc[at]].astype(np.int32)),
-                    _slot_arrays(slots, start[at], width),
-                ], names=["window", "item_row", "item_id", "item_pos", "width", "coverable", "item_slots"])
-        serial += batch.num_rows
+                if len(at):
+                    yield _rows(
+                        batch.column(0)[a:b], doc[at], window=hashed[at].view(np.int64), pos=pos[at].astype(np.int32),
+                        width=np.full(len(at), width, np.int32), words=lengths[doc[at]].astype(np.int32),
+                    )
 
 
 def _bloom(windows: DataFrame) -> np.ndarray:
@@ -154,59 +151,155 @@ def _document_windows(bloom: np.ndarray, widths: list[int]):
     mask = np.uint64(BLOOM_BITS - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        serial = TaskContext.get().partitionId() << 33
         for batch in batches:
             for a, b in slices(batch.column(1)):
-                for width, hashed, doc, _, _, start, slots in _window_rows(batch.column(1)[a:b], widths):
+                for _, hashed, doc, pos, _, _, _ in _window_rows(batch.column(1)[a:b], widths):
                     passed = np.ones(len(hashed), bool)
                     for shift in (0, 32):
                         bit = (hashed >> np.uint64(shift)) & mask
                         passed &= (bloom[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
                     at = np.flatnonzero(passed)
                     if len(at):
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(hashed[at].view(np.int64)), pa.array(serial + a + doc[at]),
-                            batch.column(0)[a:b].take(pa.array(doc[at])), _slot_arrays(slots, start[at], width),
-                        ], names=["window", "doc_row", "doc_id", "doc_slots"])
-            serial += batch.num_rows
+                        yield _rows(batch.column(0)[a:b], doc[at], window=hashed[at].view(np.int64), pos=pos[at].astype(np.int32))
 
     return run
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document and item found in it: doc_id, item_id, coverage, consistency."""
-    item_kind, doc_kind = (t.schema[c].dataType.simpleString() for t, c in ((benchmark, "item_id"), (documents, "doc_id")))
-    items = benchmark.select("item_id", "text").mapInArrow(
-        _item_windows,
-        f"window long, item_row long, item_id {item_kind}, item_pos int, width int, coverable int, item_slots array<long>",
+def _slack(words):
+    """Words by which the windows of one place may be shifted against each other."""
+    return words // 5
+
+
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Template words of a text around each place; rows (text, places: tag, item_tag, words, shift)."""
+    for batch in batches:
+        for text, places in zip(batch.column(0), batch.column(1)):
+            keys, slots, _ = template_words(pa.array([text.as_py()], pa.string()))
+            for some in _in_slices(places.as_py(), 256):
+                parts = []
+                for place in some:
+                    slack = _slack(place["words"])
+                    low = max(0, place["shift"] - slack)
+                    parts.append((low, max(low, place["shift"] + place["words"] + slack)))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([p["tag"] for p in some], pa.int64()), pa.array([p["item_tag"] for p in some], pa.int64()),
+                    pa.array([p["shift"] for p in some], pa.int32()), pa.array([low for low, _ in parts], pa.int32()),
+                    pa.array([keys[a:b].view(np.int64) for a, b in parts], pa.list_(pa.int64())),
+                    pa.array([slots[a:b].view(np.int64) for a, b in parts], pa.list_(pa.int64())),
+                ], names=["tag", "item_tag", "shift", "low", "keys", "slots"])
+
+
+def _templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for tag, text in zip(batch.column(0), batch.column(1)):
+            keys, slots, _ = template_words(pa.array([text.as_py()], pa.string()))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([tag.as_py()], pa.int64()), pa.array([keys.view(np.int64)], pa.list_(pa.int64())),
+                pa.array([slots.view(np.int64)], pa.list_(pa.int64())),
+            ], names=["item_tag", "item_keys", "item_slots"])
+
+
+def at_place(
+    keys: np.ndarray, slots: np.ndarray, shift: int, item_keys: np.ndarray, item_slots: np.ndarray
+) -> tuple[float, float]:
+    """Coverage and consistency of an item in words of a document, where the item begins at word ``shift``, give or take the slack."""
+    n = len(item_keys)
+    width, slack = min(WIDTH, n), _slack(n)
+    mine, theirs = _windows(item_keys, width), _windows(keys, width)
+    partner = np.full(n, -1)
+    left = np.arange(len(mine))
+    for by in sorted(range(-slack, slack + 1), key=abs):  # the nearest shift at which a window agrees
+        at = left + shift + by
+        fits = (at >= 0) & (at < len(theirs))
+        fits[fits] = theirs[at[fits]] == mine[left[fits]]
+        for k in range(width):
+            words = left[fits] + k
+            new = partner[words] < 0
+            partner[words[new]] = words[new] + shift + by
+        left = left[~fits]
+    covered = np.flatnonzero(partner >= 0)
+    filled = covered[item_slots[covered] != 0]
+    was, now = item_slots[filled], slots[partner[filled]]
+    if not len(was):
+        consistency = 1.0
+    elif np.count_nonzero(item_slots == 0) < min(LITERALS, n):
+        consistency = float(np.mean(was == now))
+    else:
+        pairs, counts = np.unique(np.stack([was, now]), axis=1, return_counts=True)
+        _, value = np.unique(pairs[0], return_inverse=True)
+        most = np.zeros(int(value.max()) + 1, np.int64)
+        np.maximum.at(most, value, counts)
+        consistency = float(most.sum() / counts.sum())
+    return len(covered) / n, consistency
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def column(batch: pa.RecordBatch, name: str) -> list[np.ndarray]:
+        return [x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in batch.column(name)]
+
+    for batch in batches:
+        starts = (batch.column("shift").to_numpy() - batch.column("low").to_numpy()).tolist()
+        items = zip(column(batch, "item_keys"), column(batch, "item_slots"))
+        found = [
+            at_place(keys, slots, start, *item)
+            for keys, slots, start, item in zip(column(batch, "keys"), column(batch, "slots"), starts, items)
+        ]
+        yield pa.RecordBatch.from_arrays([
+            batch.column("tag"), batch.column("item_tag"),
+            pa.array([c for c, _ in found], pa.float64()), pa.array([c for _, c in found], pa.float64()),
+        ], names=["tag", "item_tag", "coverage", "consistency"])
+
+
+def _in_slices(rows: list, size: int) -> Iterator[list]:
+    for i in range(0, len(rows), size):
+        yield rows[i:i + size]
+
+
+def _found(documents: DataFrame, benchmark: DataFrame, similarity: float) -> DataFrame:
+    """Rows (tag, item_tag, coverage, consistency): texts of documents and of items in them, by their hashes."""
+    texts = documents.select(F.xxhash64("text").alias("tag"), "text")
+    items = benchmark.select(F.xxhash64("text").alias("tag"), "text").dropDuplicates(["tag"])
+    item_windows = items.mapInArrow(_item_windows, "tag long, window long, pos int, width int, words int")
+    widths = sorted(r["width"] for r in item_windows.select("width").distinct().collect())
+    found = texts.mapInArrow(_document_windows(_bloom(item_windows), widths), "tag long, window long, pos int")
+    of_item = item_windows.select("window", F.col("tag").alias("item_tag"), F.col("pos").alias("item_pos"), "words")
+    # Written, so that its size is known: texts are not shuffled to meet a few places.
+    path = scratch_path(documents.sparkSession, "places")
+    (
+        found.join(of_item, "window")
+        .groupBy("tag", F.struct("tag", "item_tag", "words", (F.col("pos") - F.col("item_pos")).alias("shift")).alias("place")).count()
+        .select("tag", "place", F.pmod(F.xxhash64("place"), F.lit(64)).alias("deal"))
+        .groupBy("tag", "deal").agg(F.collect_list("place").alias("places")).select("tag", "places").write.parquet(path)
     )
-    widths = sorted(r["width"] for r in items.select("width").distinct().collect())
-    found = documents.select("doc_id", "text").mapInArrow(
-        _document_windows(_bloom(items), widths), f"window long, doc_row long, doc_id {doc_kind}, doc_slots array<long>"
+    places = documents.sparkSession.read.parquet(path)
+    again = texts.join(places.select("tag").distinct(), "tag", "left_semi").dropDuplicates(["tag"])
+    segments = again.join(places, "tag").select("text", "places").mapInArrow(
+        _segments, "tag long, item_tag long, shift int, low int, keys array<long>, slots array<long>"
     )
-    pair = ["doc_row", "item_row"]
-    matched = found.join(items, "window")
-    covered = (
-        matched.groupBy(*pair, "doc_id", "item_id", "width", "coverable").agg(F.collect_set("item_pos").alias("places"))
-        .withColumn("words", F.size(F.array_distinct(F.flatten(
-            F.transform("places", lambda p: F.sequence(p, p + F.col("width") - 1))))))
-        .withColumn("coverage", F.col("words") / F.col("coverable")).where(F.col("coverage") >= similarity)
-        .select(*pair, "doc_id", "item_id", "coverage")
+    templates = items.mapInArrow(_templates, "item_tag long, item_keys array<long>, item_slots array<long>")
+    judged = segments.join(templates, "item_tag").mapInArrow(
+        _judged, "tag long, item_tag long, coverage double, consistency double"
     )
-    slots = (
-        matched.select(*pair, F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("slot"))
-        .select(*pair, F.col("slot.item_slots").alias("was"), F.col("slot.doc_slots").alias("now")).where(F.col("was") != 0)
-        .groupBy(*pair, "was", "now").agg(F.count("*").alias("n"))
-        .groupBy(*pair, "was").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
-        .groupBy(*pair).agg((F.sum("most") / F.sum("all")).alias("consistency"))
+    best = F.max(F.struct("coverage", "consistency")).alias("best")
+    return (
+        judged.where((F.col("coverage") >= similarity) & (F.col("consistency") >= similarity))
+        .groupBy("tag", "item_tag").agg(best).select("tag", "item_tag", "best.*")
     )
+
+
+def leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per document and item found in it: doc_id, item_id, coverage, consistency."""
+    tag = F.xxhash64("text")
     return (
-        covered.join(slots, pair, "left").withColumn("consistency", F.coalesce("consistency", F.lit(1.0)))
-        .where(F.col("consistency") >= similarity).select("doc_id", "item_id", "coverage", "consistency")
+        documents.select("doc_id", tag.alias("tag")).join(_found(documents, benchmark, similarity), "tag")
+        .join(benchmark.select("item_id", tag.alias("item_tag")), "item_tag")
+        .select("doc_id", "item_id", "coverage", "consistency")
     )
 
 
 def remove_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` without those that hold an item of the benchmark."""
-    found = leaks(documents, benchmark).select("doc_id").distinct()
-    return documents.join(found, "doc_id", "left_anti").select(*documents.columns)
+    found = _found(documents, benchmark, SIMILARITY).select("tag").distinct()
+    return documents.withColumn("leak_tag", F.xxhash64("text")).join(
+        found.withColumnRenamed("tag", "leak_tag"), "leak_tag", "left_anti"
+    ).select(*documents.columns)
