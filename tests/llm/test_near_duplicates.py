@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from weftwork.llm import components, embed_dedup, line_dedup, simhash
+from weftwork.llm import components, embed_dedup, line_dedup, queries, simhash
 
 
 def roots(vertices, edges):
@@ -121,6 +121,16 @@ def test_line_dedup_defined_cases(documents, nothing):
     assert line_dedup.summary(nothing).count() == 0
 
 
+def test_line_dedup_short_lines(spark, tmp_path):
+    rows = [
+        (1, "Read more\nShare this page\n\nread  more"), (2, "share this page\nRead more now\n\n \t\n \t\none two three four five six"),
+        (3, "one two three four five six\none\ntwo one\none two\none\none two three four"), (4, None),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.removed for r in queries.op8_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: [3], 2: [0], 3: [0, 4], 4: []}
+
+
 def vectors(seed):
     draw = np.random.default_rng(seed)
     centres = draw.standard_normal((30, 24))

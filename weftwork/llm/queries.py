@@ -56,7 +56,7 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.summary(_read(spark, folder, "documents"))
+    return line_dedup.summary(_read(spark, folder, "documents"), short=True)
 
 
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
