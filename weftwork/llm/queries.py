@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftwork.llm import (
-    decontaminate, embed_dedup, html_text, langid, license, line_dedup, packing, quality, simhash, toxicity,
+    decontaminate, divergence, embed_dedup, exact_dedup, html_text, langid, license, line_dedup, merkle, packing, quality, simhash,
+    toxicity,
 )
 
 ACCEPT = 0.7
@@ -68,10 +69,27 @@ def op10_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embed_dedup.near_duplicates(_read(spark, folder, "embeddings"))
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.groups(_read(spark, folder, "documents")).drop("n_chars")
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_read(spark, folder, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audited(_read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_benchmark_decontamination, op3_toxicity, op4_packing, op5_simhash_near_dedup, op6_html_extraction,
         op7_quality_classifier, op8_line_dedup, op9_language_id, op10_embedding_near_dedup,
+        op11_exact_dedup, op12_source_divergence, op13_merkle_manifest,
     )
 }
+
+SQL: dict[str, str] = {
+    "op11_exact_dedup": exact_dedup.SQL, "op12_source_divergence": divergence.SQL, "op13_merkle_manifest": merkle.SQL,
+}
