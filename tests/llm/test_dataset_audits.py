@@ -91,6 +91,19 @@ def plain_audit(rows):
     return found
 
 
+def test_stripes_merged_in_small_steps(monkeypatch):
+    """Groups cut by batches, a group longer than what is held at once, and the rows without a term."""
+    rows = [("de", None, 0, ["a", "b"], [0, 0])] + [("de", b"w", 3, [f"s{i % 2}"], [i]) for i in range(9)] + [("de", b"x", 1, ["a"], [1])]
+    rows += [("en", None, 0, ["a"], [0])] * 2 + [("en", b"w", 5, ["b", "a"], [2, 3])] * 2
+    for held in (1, 3, 100):
+        monkeypatch.setattr(divergence, "_ROWS", held)
+        batches = [divergence._record(rows[i:i + 2]) for i in range(0, len(rows), 2)]
+        got = [r for b in divergence._merged(10)(iter(batches)) for r in b.to_pylist()]
+        assert [(r["lang"], r["term"], r["df"], dict(zip(r["sources"], r["counts"]))) for r in got] == [
+            ("de", None, 0, {"a": 0, "b": 0}), ("de", "w", 27, {"s0": 20, "s1": 16}), ("en", None, 0, {"a": 0}), ("en", "w", 10, {"a": 6, "b": 4}),
+        ]
+
+
 @pytest.mark.parametrize("cells", [divergence.CELLS, 30])
 def test_divergence_against_plain_counts(spark, cells):
     rows = odd_rows(2)

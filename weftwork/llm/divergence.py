@@ -34,6 +34,7 @@ CELLS = 400_000  # counts that a task holds
 SCALE = 1_000_000_000
 _STEP = 31_250  # divides SCALE; keeps products below 2^63
 _SLICE = 1 << 22
+_ROWS = 1 << 16
 _TABLE_CELLS = 1 << 20
 _TERM_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -117,25 +118,64 @@ def _folded(cells: int):
     return run
 
 
+def _add_up(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
+    """Stripes sorted by (lang, term), whole groups of them, added up; only those of terms in ``least`` documents are unpacked."""
+    langs, terms = table.column("lang").combine_chunks(), pc.fill_null(table.column("term"), "").combine_chunks()
+    new = np.ones(len(terms), bool)
+    for column in (langs, terms):
+        same = pc.equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        new[1:] = ~same if column is langs else new[1:] | ~same
+    starts = np.flatnonzero(new)
+    df = np.add.reduceat(table.column("df").to_numpy(), starts)
+    kept = (df >= least) | pc.equal(terms.take(pa.array(starts)), "").to_numpy(zero_copy_only=False)
+    group = np.cumsum(new) - 1
+    rows = table.filter(pa.array(kept[group])).combine_chunks()
+    if rows.num_rows == 0:
+        return
+    lists = rows.column("sources").combine_chunks()
+    sources = pc.dictionary_encode(lists.flatten())
+    owner = group[kept[group]][pc.list_parent_indices(lists).to_numpy()]
+    cell, at = np.unique(owner * len(sources.dictionary) + sources.indices.to_numpy(), return_inverse=True)
+    counts = np.zeros(len(cell), np.int64)
+    np.add.at(counts, at, rows.column("counts").combine_chunks().flatten().to_numpy())
+    owner, source = np.divmod(cell, len(sources.dictionary))
+    ends = np.searchsorted(owner, np.flatnonzero(kept), side="right")
+    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+    first = pa.array(starts[kept])
+    yield pa.RecordBatch.from_arrays(
+        [
+            langs.take(first), table.column("term").combine_chunks().take(first), pa.array(df[kept]),
+            pa.ListArray.from_arrays(offsets, sources.dictionary.take(pa.array(source))), pa.ListArray.from_arrays(offsets, pa.array(counts)),
+        ],
+        names=["lang", "term", "df", "sources", "counts"],
+    )
+
+
 def _merged(least: int):
-    """Adds up stripes that come sorted by (lang, term) and keeps those of terms in ``least`` documents."""
+    """Merges stripes that come sorted by (lang, term), some batches at a time; the last group waits for what follows."""
 
-    def stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        key, df, by = None, 0, {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        rows = 0
         for batch in batches:
-            columns = [batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), *(batch.column(i).to_pylist() for i in (2, 3, 4))]
-            for lang, term, more, sources, counts in zip(*columns):
-                if (lang, term) != key:
-                    if key is not None and (key[1] is None or df >= least):
-                        yield *key, df, list(by), list(by.values())
-                    key, df, by = (lang, term), 0, {}
-                df += more
-                for source, n in zip(sources, counts):
-                    by[source] = by.get(source, 0) + n
-        if key is not None and (key[1] is None or df >= least):
-            yield *key, df, list(by), list(by.values())
+            waiting.append(batch)
+            rows += batch.num_rows
+            if rows < _ROWS:
+                continue
+            table = pa.Table.from_batches(waiting)
+            last = table.slice(rows - 1).to_pylist()[0]
+            same = pc.and_(pc.equal(table.column("lang"), last["lang"]), pc.equal(pc.fill_null(table.column("term"), ""), last["term"] or ""))
+            ended = pc.index(same, True).as_py()
+            if ended:
+                yield from _add_up(table.slice(0, ended), least)
+                waiting = table.slice(ended).combine_chunks().to_batches()
+            else:  # one term alone, from very many tasks
+                waiting = list(_add_up(table, 0))
+            rows = sum(b.num_rows for b in waiting)
+        if rows:
+            yield from _add_up(pa.Table.from_batches(waiting), least)
 
-    return lambda batches: _in_batches(stripes(batches))
+    return run
 
 
 def stripes(documents: DataFrame, least: int = LEAST, cells: int = CELLS) -> DataFrame:
@@ -215,7 +255,11 @@ def audit(documents: DataFrame, least: int = LEAST, best: int = BEST, cells: int
         .join(terms.groupBy("lang").agg(F.count("*").alias("kept")), "lang", "left")
         .select("lang", F.col("groups.source").alias("names"), F.col("groups.n").alias("totals"), F.coalesce("kept", F.lit(0)).alias("kept"))
     )
-    with_totals = terms.join(languages, "lang").select("lang", "term", "sources", "counts", "names", "totals", "kept")
+    # A language's terms are dealt over as many tasks as there are, each of which gets the language's row.
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = terms.withColumn("part", F.pmod(F.xxhash64("term"), F.lit(parts)))
+    copies = languages.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    with_totals = dealt.join(copies, ["lang", "part"]).select("lang", "term", "sources", "counts", "names", "totals", "kept")
     found = with_totals.mapInArrow(_emitted(best), "lang string, source string, part string, item string, value long")
     without = (
         languages.where("kept = 0").select("lang", F.explode("names").alias("source"), F.lit("pair").alias("part"), "names")
