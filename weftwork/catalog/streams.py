@@ -1,12 +1,13 @@
 """Streams over the events table, run until all of it is read."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from weftwork.catalog import Tables, query
 from weftwork.operators.aggregate import top_per_group
 from weftwork.session import scratch_path
-from weftwork.streaming import joins, sinks, sources, windows
-from weftwork.streaming.sinks import run_to_table
+from weftwork.streaming import commits, joins, panes, sinks, sources, windows
+from weftwork.streaming.sinks import run_in_steps, run_to_table
 
 
 def _events(t: Tables):
@@ -20,7 +21,7 @@ def _bounds(size: int, slide: int | None = None, keys: str = "") -> str:
     step = slide * 1_000_000
     return f"""(SELECT events.*, make_timestamp((epoch_us(ts) // {step} - k) * {step}) AS "start",
   make_timestamp((epoch_us(ts) // {step} - k) * {step} + {size * 1_000_000}) AS "end"
-FROM events, range({size // slide}) r(k))"""
+FROM events, range({-(-size // slide)}) r(k) WHERE epoch_us(ts) % {step} + k * {step} < {size * 1_000_000})"""
 
 
 _DAY, _HOUR = 86_400, 3_600
@@ -217,3 +218,178 @@ def windowed_best_tag(t: Tables):
     posts = _events(t).select("ts", F.concat(F.lit("#"), "event_type").alias("text"))
     counts = run_to_table(windows.hashtag_counts(posts, "ts", "text", "60 minutes", "60 minutes"), "complete")
     return top_per_group(counts, "start", "tag", "n")
+
+
+# Windows that are closed by a watermark: written once, in append mode, and only those that can get no further row.
+
+
+def _closed(late: int) -> str:
+    return f""""end" <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL {late} SECONDS FROM events)"""
+
+
+def _slices(t: Tables, count: int = 4):
+    """The events in slices of about equal size, in the order of time, as a stream brings them."""
+    events, at = windows.event_time(t.events, "ts"), F.unix_micros("ts")
+    cuts = events.agg(F.percentile_approx(at, [i / count for i in range(1, count)])).first()[0] or []
+    ends = [None, *cuts, None]
+    return [
+        events.where((F.lit(True) if a is None else at > a) & (F.lit(True) if b is None else at <= b))
+        for a, b in zip(ends, ends[1:])
+    ]
+
+
+def _in_steps(t: Tables, build):
+    return run_in_steps(build, _slices(t))[0]
+
+
+def _cents():
+    return panes.summed("total", F.col("value").cast("decimal(18,2)"), lambda total: F.col(total).cast("double"))
+
+
+@query(f"""
+SELECT "start", "end", event_type, {_TOTAL}, count(*) AS n, CAST(sum(user_id) AS DOUBLE) / count(*) AS mean_user, max(value) AS top
+FROM {_bounds(_DAY, _HOUR)} WHERE {_closed(_HOUR)} GROUP BY 1, 2, 3""")
+def pane_sliding(t: Tables):
+    """A day by an hour: each event is counted in one pane of an hour."""
+    measures = [_cents(), panes.counted("n"), panes.mean("mean_user", "user_id"), panes.largest("top", "value")]
+    return _in_steps(t, lambda rows: panes.sliding(rows, "ts", "1 day", "1 hour", measures, ["event_type"], "1 hour"))
+
+
+@query(f"""
+SELECT "start", "end", count(*) AS n FROM {_bounds(_HOUR, 900)} WHERE {_closed(600)} GROUP BY 1, 2""")
+def pane_window_count(t: Tables):
+    return _in_steps(
+        t, lambda rows: panes.sliding(rows, "ts", "60 minutes", "15 minutes", [panes.counted("n")], late="10 minutes")
+    )
+
+
+@query(f"""
+SELECT "start", "end", event_type AS word, count(*) AS n FROM {_bounds(60, 30)} WHERE {_closed(30)} GROUP BY 1, 2, 3""")
+def pane_word_count(t: Tables):
+    def build(rows):
+        said = sources.words(rows, "event_type", keep=("ts",))
+        return panes.sliding(said, "ts", "60 seconds", "30 seconds", [panes.counted("n")], ["word"], "30 seconds")
+
+    return _in_steps(t, build)
+
+
+@query(f"""
+SELECT "start", "end", CAST(2 * count(*) AS BIGINT) AS money FROM {_bounds(45, 30)}
+WHERE length(event_type) >= 6 AND {_closed(30)} GROUP BY 1, 2""")
+def pane_money(t: Tables):
+    """45 seconds by 30: the slide does not divide the window, so panes are 15 seconds long."""
+    def build(rows):
+        long_words = sources.words(rows, "event_type", keep=("ts",)).where(F.length("word") >= 6)
+        return panes.sliding(long_words, "ts", "45 seconds", "30 seconds", [panes.summed("money", F.lit(2))], late="30 seconds")
+
+    return _in_steps(t, build)
+
+
+@query(f"""
+SELECT "start", "end", '#' || event_type AS tag, count(*) AS n FROM {_bounds(60, 10)} WHERE {_closed(10)} GROUP BY 1, 2, 3""")
+def pane_top_tags(t: Tables):
+    """Uses of each hashtag over 60 seconds by 10, most used first."""
+    def build(rows):
+        posts = rows.select("ts", F.concat(F.lit("about #"), "event_type", F.lit(" and more")).alias("text"))
+        tags = posts.select("ts", F.explode(F.split("text", " ")).alias("tag")).where(F.col("tag").startswith("#"))
+        return panes.sliding(tags, "ts", "60 seconds", "10 seconds", [panes.counted("n")], ["tag"], "10 seconds")
+
+    return windows.most_used_first(_in_steps(t, build))
+
+
+@query(f"""
+SELECT "start", "end", event_type, {_TOTAL} FROM {_bounds(_DAY)} WHERE {_closed(_HOUR)} GROUP BY 1, 2, 3""")
+def closed_tumbling(t: Tables):
+    return run_to_table(windows.windowed(_events(t), "ts", "1 day", [_total()], keys=["event_type"], late="1 hour"))
+
+
+@query(f"""
+SELECT "start", "end", CAST(sum(length(props)) AS BIGINT) AS chars FROM {_bounds(_HOUR)} WHERE {_closed(600)} GROUP BY 1, 2""")
+def closed_sum_len(t: Tables):
+    sums = windows.windowed(_events(t), "ts", "60 minutes", [F.sum(F.length("props")).alias("chars")], late="10 minutes")
+    return run_to_table(sums)
+
+
+@query(f"""
+SELECT "start", "end", CAST(sum(length(props)) AS DOUBLE) / count(*) AS mean_length FROM {_bounds(5)} WHERE {_closed(5)} GROUP BY 1, 2""")
+def closed_avg_len(t: Tables):
+    return run_to_table(windows.mean_length(_events(t), "ts", "props", late="5 seconds"))
+
+
+def _clicks_and_purchases(rows):
+    return [
+        rows.where(F.col("event_type") == kind).select(F.col("event_id").alias(f"{kind}_id"), "user_id", F.col("ts").alias(f"{kind}_ts"))
+        for kind in ("click", "purchase")
+    ]
+
+
+_PAIRS = """pairs AS (
+  SELECT c.event_id AS click_id, p.event_id AS purchase_id, c.user_id, c.ts
+  FROM events c {how} JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
+    ON c.user_id = p.user_id AND p.ts BETWEEN c.ts AND c.ts + INTERVAL 6 HOURS
+  WHERE c.event_type = 'click')"""
+
+
+@query(f"WITH {_PAIRS.format(how='')} SELECT click_id, purchase_id, user_id FROM pairs")
+def stream_interval_join(t: Tables):
+    """Purchases within six hours of a click, with state by user and six-hour bucket."""
+    def build(rows):
+        pairs = joins.interval_join(*_clicks_and_purchases(rows), "user_id", "click_ts", "purchase_ts", "6 HOURS", "1 hour")
+        return pairs.select("click_id", "purchase_id", "user_id")
+
+    return _in_steps(t, build)
+
+
+@query(f"""
+WITH {_PAIRS.format(how='LEFT')},
+watermark AS (
+  SELECT date_trunc('milliseconds', min(last)) - INTERVAL 1 HOUR AS w
+  FROM (SELECT max(ts) AS last FROM events WHERE event_type IN ('click', 'purchase') GROUP BY event_type))
+SELECT click_id, purchase_id, user_id FROM pairs, watermark
+WHERE purchase_id IS NOT NULL OR ts < w - INTERVAL 6 HOURS""")
+def stream_interval_left_join(t: Tables):
+    """A click without purchase is written when the watermark says that none can follow."""
+    def build(rows):
+        pairs = joins.interval_join(*_clicks_and_purchases(rows), "user_id", "click_ts", "purchase_ts", "6 HOURS", "1 hour", "left")
+        return pairs.select("click_id", "purchase_id", "user_id")
+
+    return _in_steps(t, build)
+
+
+@query("""
+SELECT event_id, user_id, c_name FROM (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') RIGHT JOIN events ON user_id = c_custkey""")
+def stream_static_right_join(t: Tables):
+    """The table is on the left; every event stays, also of users that the table does not have."""
+    some = t.customer.where("c_mktsegment = 'BUILDING'")
+    named = joins.table_stream_join(some, _events(t), F.expr("user_id = c_custkey"), "right")
+    return run_to_table(named.select("event_id", "user_id", "c_name"))
+
+
+@query("SELECT event_id, event_type, value FROM events")
+def stream_replayed_batches(t: Tables):
+    """Every other batch dies after its data and before its commit, and every batch is written twice; each event is there once."""
+    folder, checkpoint = scratch_path(t.spark, "arrivals"), scratch_path(t.spark, "checkpoint")
+    schema = "event_id bigint, event_type string, value double"
+    t.events.select("event_id", "event_type", "value").repartition(8).write.json(folder)
+    sink = commits.FolderSink(t.spark, scratch_path(t.spark, "committed"), "events")
+    died: set[int] = set()
+
+    def write(batch, batch_id):
+        if batch_id % 2 and batch_id not in died:
+            died.add(batch_id)
+            sink.stage(batch, batch_id)
+            raise InterruptedError(f"batch {batch_id} dies for the first time")
+        sink.write(batch, batch_id)
+        sink.write(batch, batch_id)
+
+    ended = False
+    while not ended:
+        before = len(died)
+        stream = sources.file_stream(t.spark, folder, schema, "json", files_per_batch=2)
+        try:
+            sinks.start_batches(stream, write, checkpoint).awaitTermination()
+            ended = True
+        except StreamingQueryException:
+            if len(died) == before:
+                raise
+    return sink.read(schema)

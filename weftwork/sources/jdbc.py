@@ -57,3 +57,25 @@ def write_table(
     """``connections`` bounds the number of sessions that the database sees at the same time."""
     options = {**target.options(table), "batchsize": str(batch_size), "numPartitions": str(connections)}
     df.write.format("jdbc").mode(mode).options(**options).save()
+
+
+def transaction(spark: SparkSession, target: JdbcTarget, statements: list[str]) -> None:
+    """Run statements on one connection of the driver: all of them or none."""
+    jvm = spark.sparkContext._jvm
+    jvm.java.lang.Class.forName(target.driver)
+    login = jvm.java.util.Properties()
+    for name, value in (("user", target.user), ("password", target.password)):
+        if value is not None:
+            login.setProperty(name, value)
+    connection = jvm.java.sql.DriverManager.getConnection(target.url, login)
+    try:
+        connection.setAutoCommit(False)
+        try:
+            for statement in statements:
+                connection.createStatement().execute(statement)
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+    finally:
+        connection.close()

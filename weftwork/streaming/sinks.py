@@ -1,12 +1,12 @@
 """Stream sinks, triggers and progress.
 
-A batch may be written twice after a failure. The sinks here overwrite a place that is named after
-the batch, so a repeated batch leaves the same data.
+A batch may be written twice after a failure. ``batch_files`` overwrites a folder that is named after the batch, so that a repeated
+batch leaves the same data. ``BufferedRowWriter`` may send rows again; sinks of ``commits`` hold each row once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampType
 
 from weftwork.session import scratch_path
-from weftwork.sources.jdbc import JdbcTarget, write_table
 
 TRIGGERS = {
     "once": {"availableNow": True},
@@ -54,24 +53,6 @@ def batch_files(path: str, fmt: str = "json") -> Callable[[DataFrame, int], None
     return write
 
 
-def batch_table(target: JdbcTarget, table: str) -> Callable[[DataFrame, int], None]:
-    """Each batch appended to a database table, with its number, so that a reader can drop repeats."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_table(batch.withColumn("batch_id", F.lit(batch_id)), target, table, "append")
-
-    return write
-
-
-def batch_connector(fmt: str, **options) -> Callable[[DataFrame, int], None]:
-    """Each batch through a data source connector (a wide-column store, for one)."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(fmt).options(**options).mode("append").save()
-
-    return write
-
-
 class RowSink(Protocol):
     """What ``foreach`` wants; one object per partition and batch."""
 
@@ -158,6 +139,27 @@ def run_to_table(df: DataFrame, mode: str = "append") -> DataFrame:
     return naive(spark.read.schema(df.schema).parquet(f"{out}/batch={last[-1]}"))
 
 
+def run_in_steps(build: Callable[[DataFrame], DataFrame], slices: Sequence[DataFrame]) -> tuple[DataFrame, list[dict]]:
+    """Feed slices of rows to an append-mode stream, one after the other, and read back what it wrote, with the progress of its batches.
+
+    ``build`` makes the result from the stream of rows. Each slice is written, and the query started again where it had stopped until
+    it has read the slice, so a slice never shares a batch with the next one, and watermarks move from slice to slice.
+    """
+    spark = slices[0].sparkSession
+    arrivals, out, checkpoint = (scratch_path(spark, label) for label in ("arrivals", "stream", "stream-checkpoint"))
+    progress: list[dict] = []
+    for rows in slices:
+        rows.write.mode("append").parquet(arrivals)
+        result = build(spark.readStream.schema(rows.schema).parquet(arrivals))
+        query = (
+            result.writeStream.format("parquet").outputMode("append").option("path", out)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        progress.extend(query.recentProgress)
+    return naive(spark.read.schema(result.schema).parquet(out)), progress
+
+
 def naive(df: DataFrame) -> DataFrame:
     """Timestamps without zone."""
     zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
