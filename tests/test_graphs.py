@@ -237,3 +237,57 @@ def test_negative_weights_are_refused(spark):
     edges = spark.createDataFrame([(1, 2, -1.0)], "src long, dst long, w double")
     with pytest.raises(ValueError):
         graph.shortest_paths(edges, landmark(spark, 2), weight="w")
+
+
+def test_shares_at_the_limit_are_not_over_it(spark):
+    """0.05 + 0.1 + 0.15 is 0.3, in any order, and does not count as more."""
+    edges = [(0, 1, 0.05), (0, 2, 0.1), (0, 3, 0.15), (1, 4, 1.0), (2, 4, 1.0), (3, 4, 1.0), (4, 5, 0.4)]
+    for parts in (1, 3, 7):
+        table = spark.createDataFrame(edges, "src long, dst long, rate double").repartition(parts)
+        found = {r.id: r.share for r in ownership.control_shares(table).where("origin = 0").collect()}
+        assert found[4] == 0.3 and found[5] == 0.4 * 0.3
+
+
+def test_very_small_shares_stay(spark):
+    edges = [(0, 1, 0.0012), (1, 2, 1e-10), (0, 3, 1.2e-13), (7, 3, 12.5)]
+    found = {(r.origin, r.id): r.share for r in ownership.control_shares(spark.createDataFrame(edges, "src long, dst long, rate double")).collect()}
+    assert found[0, 2] == 0.0012 * 1e-10 and found[0, 3] == 1.2e-13 and found[7, 3] == 12.5
+
+
+def plain_shares(edges):
+    """The rules with fractions, round by round, on whole tables."""
+    from fractions import Fraction
+
+    ends = {v for s, d, _ in edges for v in (s, d)}
+    shares, active = {(v, v): Fraction(1) for v in ends}, list(edges)
+    while active:
+        sums = defaultdict(Fraction)
+        for s, d, rate in active:
+            for (i, origin), share in shares.items():
+                if i == s and origin != d and share > Fraction("0.001"):
+                    sums[d, origin] += Fraction(rate) * (1 if share > Fraction("0.3") else share)
+        grown = {i for i, origin in sums if (i, origin) not in shares}
+        for key, value in sums.items():
+            shares[key] = max(shares.get(key, Fraction(0)), value)
+        active = [e for e in edges if e[1] in grown]
+    return {(o, i): float(x) for (i, o), x in shares.items() if o != i}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 9), st.sampled_from([0.0625, 0.125, 0.25, 0.5, 0.75, 1.0])), min_size=1, max_size=25))
+def test_shares_like_whole_rounds(spark, edges):
+    """Random graphs with cycles, self-loops and repeated edges, where sums of sixteenths are exact."""
+    found = ownership.control_shares(spark.createDataFrame(edges, "src long, dst long, rate double")).collect()
+    assert {(r.origin, r.id): r.share for r in found} == plain_shares(edges) and len(found) == len(plain_shares(edges))
+
+
+def test_shares_without_broadcasts(spark):
+    edges = [(i, i + 1, 0.5 + (i % 3) / 8) for i in range(40)] + [(i, i + 2, 0.125) for i in range(39)]
+    table = spark.createDataFrame(edges, "src long, dst long, rate double")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = {tuple(r) for r in ownership.control_shares(table).collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {tuple(r) for r in ownership.control_shares(table).collect()} == want and len(want) > 500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -137,9 +137,16 @@ _HOLDINGS = """e AS (
   FROM part)"""
 
 
-def _control_rounds(rounds: int) -> str:
+# Fourteen parts in a row hold the next one, and some the one after it: chains of thirteen links.
+_CHAINS = """e AS (
+  SELECT p_partkey AS src, p_partkey + 1 AS dst, (p_size % 3 + 5) / 8.0 AS rate FROM part WHERE p_partkey % 14 <> 0
+  UNION ALL
+  SELECT p_partkey, p_partkey + 2, (p_size % 3 + 1) / 16.0 FROM part WHERE p_partkey % 14 BETWEEN 1 AND 12 AND p_size % 2 = 0)"""
+
+
+def _control_rounds(rounds: int, holdings: str = _HOLDINGS) -> str:
     """The rules of the propagation, written out round by round."""
-    steps = [f"WITH {_HOLDINGS}",
+    steps = [f"WITH {holdings}",
              "s0 AS (SELECT id, id AS origin, CAST(1 AS DOUBLE) AS share FROM (SELECT src AS id FROM e UNION SELECT dst FROM e))",
              "a0 AS (SELECT src, dst, CAST(rate AS DOUBLE) AS rate FROM e)"]
     for i in range(rounds):
@@ -164,6 +171,14 @@ def control_shares(t: Tables):
     return ownership.control_shares(holdings)
 
 
+@query(_control_rounds(14, _CHAINS))
+def control_shares_deep(t: Tables):
+    key, size = F.col("p_partkey"), F.col("p_size")
+    next_one = t.part.where("p_partkey % 14 <> 0").select(key.alias("src"), (key + 1).alias("dst"), ((size % 3 + 5) / 8).alias("rate"))
+    one_after = t.part.where("p_partkey % 14 BETWEEN 1 AND 12 AND p_size % 2 = 0").select(key, key + 2, (size % 3 + 1) / 16)
+    return ownership.control_shares(next_one.union(one_after))
+
+
 @query("""
 SELECT DISTINCT c_custkey AS src, s_suppkey AS dst, o_totalprice / 100 AS rate, 'BUY' AS kind
 FROM orders JOIN customer ON c_name = 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')

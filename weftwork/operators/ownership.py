@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from weftwork.session import checkpointed
+from weftwork.session import broadcast_bytes, checkpointed
 
 # A holding above this share counts as full control of what lies below it, and shares
 # at or below the second number are not passed on.
@@ -42,6 +42,26 @@ def unresolved_count(edges: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
+# Fixed-point places of a sum of doubles: 32 bits before and 38 behind, each a whole number that is added without rounding.
+_HIGH, _LOW = float(1 << 32), float(1 << 38)
+
+
+def _sum_parts(value: Column) -> list[Column]:
+    scaled = value * _HIGH
+    high = F.floor(scaled)
+    return [F.sum(high).alias("high"), F.sum(F.floor((scaled - high) * _LOW)).alias("low"), F.count(value).alias("n"), F.max(value).alias("one")]
+
+
+def _total() -> Column:
+    """The sum of doubles, the same in whatever order tasks add. One value is itself.
+
+    A total within two units in the last place of a number with twelve decimals is this number: three times 0.1 is 0.3.
+    """
+    exact = F.when(F.col("n") == 1, F.col("one")).otherwise((F.col("high") + F.col("low") / _LOW) / _HIGH)
+    near = F.round(exact, 12)
+    return F.when(F.abs(exact - near) <= exact * 4.5e-16, near).otherwise(exact)
+
+
 def control_shares(
     edges: DataFrame, control: float = CONTROL, negligible: float = NEGLIGIBLE, max_rounds: int | None = None
 ) -> DataFrame:
@@ -52,37 +72,52 @@ def control_shares(
     are summed; the larger of the old share and this sum is kept. An edge stays active while its end gains
     a new origin in the round. Returns (origin, id, share) without an origin's row about itself.
 
-    Rounds go on until nothing is gained; with ``max_rounds`` the loop raises an error if that is not enough. Sums
-    are rounded to twelve places, so that the order of addition does not decide what is over ``control``.
+    Rounds go on until nothing is gained; with ``max_rounds`` the loop raises an error if that is not enough. Sums do not
+    depend on the order of addition, so neither do shares nor what is over ``control``.
 
-    Shares are rows, not a map per vertex, so a vertex with very many origins is spread over tasks.
+    Shares are rows, not a map per vertex, so a vertex with very many origins is spread over tasks. An origin's share in
+    itself is never stored: it sends the rates of its edges. A round works on what can change, the ends of active edges:
+    only their shares meet the messages in the aggregation, and other shares are not shuffled.
     """
-    edges = checkpointed(edges.select("src", "dst", "rate"))
-    ends = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
-    shares = ends.select("id", F.col("id").alias("origin"), F.lit(1.0).alias("share"))
-    active = edges
+    spark = edges.sparkSession
+    edges = checkpointed(edges.select("src", "dst", "rate").repartition("src"))
+    if negligible >= 1:
+        return edges.limit(0).select(F.col("src").alias("origin"), F.col("dst").alias("id"), F.lit(0.0).alias("share"))
+    nothing = F.lit(None).cast("double")
+    shares, grown = None, None
     for done in itertools.count(1):
-        sent = F.when(F.col("share") > control, F.col("rate")).otherwise(F.col("rate") * F.col("share"))
-        messages = (
-            active.join(shares.where(F.col("share") > negligible), active["src"] == shares["id"])
-            .where("origin <> dst")
-            .select(F.col("dst").alias("id"), "origin", F.lit(None).cast("double").alias("share"), sent.alias("sent"))
+        # Only ends of active edges can grow, so the edges of a round follow from the round before.
+        active = edges if grown is None else edges.join(grown, edges["dst"] == grown["grown"], "left_semi")
+        meeting = active.where("src <> dst").select(
+            F.col("dst").alias("id"), F.col("src").alias("origin"), nothing.alias("share"), F.col("rate").alias("sent")
         )
+        if shares is not None:
+            sent = F.when(F.col("share") > control, F.col("rate")).otherwise(F.col("rate") * F.col("share"))
+            passed_on = active.join(shares.where(F.col("share") > negligible), active["src"] == shares["id"]).where("origin <> dst")
+            old = shares.join(grown, shares["id"] == grown["grown"], "left_semi")
+            meeting = meeting.unionByName(
+                passed_on.select(F.col("dst").alias("id"), "origin", nothing.alias("share"), sent.alias("sent"))
+            ).unionByName(old.select("id", "origin", "share", nothing.alias("sent")))
         # Old shares and messages meet in one aggregation, which also sums the messages map-side.
-        merged = checkpointed(
-            shares.select("id", "origin", "share", F.lit(None).cast("double").alias("sent")).union(messages)
-            .groupBy("id", "origin").agg(F.max("share").alias("old"), F.round(F.sum("sent"), 12).alias("sent"))
-            .select("id", "origin", F.greatest("old", "sent").alias("share"), F.col("old").isNull().alias("gained"))
+        merged = (
+            meeting.groupBy("id", "origin").agg(F.max("share").alias("old"), *_sum_parts(F.col("sent")))
+            .select("id", "origin", F.greatest("old", _total()).alias("share"), F.col("old").isNull().alias("gained"))
         )
-        shares = merged.select("id", "origin", "share")
-        grown = merged.where("gained").select(F.col("id").alias("dst")).distinct()
-        if grown.isEmpty():
+        if shares is not None:
+            others = shares.join(grown, shares["id"] == grown["grown"], "left_anti")
+            merged = merged.unionByName(others.select("id", "origin", "share", F.lit(False).alias("gained")))
+        counted = Observation()
+        shares = checkpointed(merged.observe(counted, F.count_if("gained").alias("gained")))
+        rows = counted.get["gained"]
+        if rows == 0:
             break
         if done == max_rounds:
             raise RuntimeError(f"shares still grow after {max_rounds} rounds")
-        # Only ends of active edges can grow, so the edges of the next round follow from this round alone.
-        active = edges.join(grown, "dst", "left_semi").select("src", "dst", "rate")
-    return shares.where("origin <> id").select("origin", "id", "share")
+        # Eight bytes an id: broadcast if the session allows so many, else shuffled without repeats.
+        gained = shares.where("gained").select(F.col("id").alias("grown"))
+        grown = F.broadcast(gained) if 8 * rows <= broadcast_bytes(spark) else gained.distinct()
+        shares = shares.drop("gained")
+    return shares.select("origin", "id", "share")
 
 
 def controllers(shares: DataFrame, names: DataFrame, above: float = CONTROL) -> DataFrame:

@@ -100,3 +100,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def broadcast_bytes(spark: SparkSession) -> int:
+    """The size up to which the session broadcasts a side of a join; negative if never."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
