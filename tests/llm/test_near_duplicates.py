@@ -80,13 +80,13 @@ def test_near_duplicates_defined_cases(documents, nothing):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
-def plain_removed(rows):
+def plain_removed(rows, short=True, width=5):
     lines = []
     for doc, text in rows:
         for i, line in enumerate((text or "").split("\n")):
             words = [w for w in line.lower().split(" ") if w]
-            if len(words) >= 5:
-                lines.append((doc, i, set(zip(*[words[k:] for k in range(5)]))))
+            if len(words) >= width or short and line.strip():
+                lines.append((doc, i, {tuple(words[k:k + width]) for k in range(max(1, len(words) - width + 1))}))
     gone = defaultdict(set)
     for a, (doc, i, x) in enumerate(lines):
         if any(len(x & y) >= 0.8 * len(x | y) - 1e-9 for _, _, y in lines[:a]):
@@ -94,7 +94,8 @@ def plain_removed(rows):
     return gone
 
 
-def test_line_dedup_against_all_pairs(spark):
+@pytest.mark.parametrize("short, width", [(True, 5), (False, 5), (True, 1), (True, 2)])
+def test_line_dedup_against_all_pairs(spark, short, width):
     draw = random.Random(5)
     base = [" ".join(draw.choice("abcdefghijklmnop") * draw.randrange(1, 3) for _ in range(draw.randrange(3, 30))) for _ in range(25)]
     rows = []
@@ -106,9 +107,9 @@ def test_line_dedup_against_all_pairs(spark):
                 words[draw.randrange(len(words))] = draw.choice("xyz")
             text.append(" ".join(words))
         rows.append((doc, "\n".join(text)))
-    got = {r.doc_id: set(r.removed) for r in line_dedup.summary(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    want = plain_removed(rows)
-    assert got == {doc: want.get(doc, set()) for doc, _ in rows} and sum(map(len, want.values())) > 20
+    found = line_dedup.summary(spark.createDataFrame(rows, "doc_id long, text string"), short, width).collect()
+    want = plain_removed(rows, short, width)
+    assert {r.doc_id: set(r.removed) for r in found} == {doc: want.get(doc, set()) for doc, _ in rows} and sum(map(len, want.values())) > 20
 
 
 def test_line_dedup_defined_cases(documents, nothing):
