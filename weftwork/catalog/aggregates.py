@@ -1,10 +1,13 @@
 """Aggregations."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from weftwork.catalog import Tables, query
 from weftwork.functions import udfs
 from weftwork.operators import aggregate
+from weftwork.session import scratch_path
 
 
 def money_sum(column: str):
@@ -210,7 +213,17 @@ def group_collect(t: Tables):
 
 @query("SELECT o_custkey, list_sort(list(DISTINCT o_orderpriority)) AS collected FROM orders GROUP BY 1")
 def group_collect_distinct(t: Tables):
-    return aggregate.collect_distinct(t.orders, "o_custkey", "o_orderpriority")
+    return aggregate.collect_distinct(t.orders, "o_custkey", "o_orderpriority").drop("part")
+
+
+@query("""
+WITH d AS (SELECT DISTINCT l_returnflag, l_orderkey FROM lineitem),
+placed AS (
+  SELECT *, CAST((row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey) - 1) // 100 AS INTEGER) AS part FROM d)
+SELECT l_returnflag, part, list_sort(list(l_orderkey)) AS collected FROM placed GROUP BY 1, 2""")
+def group_collect_distinct_parts(t: Tables):
+    """Three keys with a third of the rows each, in slices of 100 distinct orders."""
+    return aggregate.collect_distinct(t.lineitem, "l_returnflag", "l_orderkey", length=100)
 
 
 @query("""
@@ -264,3 +277,17 @@ def map_in_partition(t: Tables):
 @query("SELECT doc_id, lang, source FROM documents WHERE lang IN ('de', 'fr')")
 def broadcast_filter(t: Tables):
     return t.documents.where(udfs.in_list("lang", ["de", "fr"])).select("doc_id", "lang", "source")
+
+
+@query("""
+WITH w AS (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS word FROM documents)
+SELECT md5(word) AS digest, count(*) AS n, (SELECT count(*) FROM w WHERE lower(word) = 'the') AS marked
+FROM w WHERE word <> '' GROUP BY 1""")
+def observe_side_count(t: Tables):
+    """The number of marked words, counted on the side while the digests are written; no second pass counts them."""
+    words = aggregate.words_of(t.documents, "text")
+    watched, watch = aggregate.observed(words, f"side_count_{uuid.uuid4().hex}", marked=F.count_if(F.lower("word") == "the"))
+    digests = watched.groupBy(F.md5(F.col("word").cast("binary")).alias("digest")).agg(F.count("*").alias("n"))
+    path = scratch_path(t.spark, "digests")
+    digests.write.parquet(path)
+    return t.spark.read.parquet(path).withColumn("marked", F.lit(watch.get["marked"]).cast("long"))

@@ -117,6 +117,25 @@ def ride_share_impact(t: Tables):
     )
 
 
+@query("""
+WITH rides AS (SELECT o_orderdate, c_nationkey, o_totalprice, o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey),
+g AS (
+  SELECT CAST(round(floor(epoch(o_orderdate)) / 300) AS BIGINT) AS slot, c_nationkey, count(*) AS total_trips,
+         CAST(sum(CAST(o_totalprice AS DECIMAL(28,2))) AS DOUBLE) AS total_amount
+  FROM rides WHERE o_orderpriority <> '5-LOW' GROUP BY 1, 2)
+SELECT r_name AS borough, n_name AS zone, make_timestamp(slot * 300000000) AS approximate_datetime, total_trips, total_amount
+FROM g JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def ride_share_zones(t: Tables):
+    """Trips of small parties by zone and five minutes, with the names of zone and borough."""
+    rides = t.orders.join(t.customer, F.expr("o_custkey = c_custkey"))
+    groups = trips.sharing_groups(rides, "o_orderdate", "c_nationkey", "o_totalprice", F.col("o_orderpriority") != "5-LOW", scale=2)
+    zones = t.nation.join(t.region, F.expr("n_regionkey = r_regionkey")).select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("borough"), F.col("n_name").alias("zone")
+    )
+    named = trips.with_zone_names(groups, zones, "c_nationkey")
+    return named.withColumn("approximate_datetime", F.col("approximate_datetime").cast("timestamp_ntz"))
+
+
 @query(_GROUPS + "SELECT round(sum(total_impact), 4) AS total FROM i")
 def ride_share_total(t: Tables):
     return trips.sharing_total(_impact(t)).select(F.round("total", 4).alias("total"))
@@ -151,7 +170,7 @@ def _by_department(t: Tables):
         F.col("l_orderkey").alias("key"), F.col("p_brand").alias("department")
     )
     pay = t.orders.select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("amount"))
-    return people.pay_by_department(hires, memberships, pay, "1996-01-01", "1997-01-01")
+    return people.pay_by_department(hires, memberships, pay, "1996-01-01", "1997-01-01", scale=2)
 
 
 @query(_BY_DEPARTMENT)

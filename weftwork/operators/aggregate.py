@@ -138,9 +138,13 @@ def collect_lists(
     )
 
 
-def collect_distinct(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Sorted distinct values per key, for a value column with few distinct values."""
-    return df.groupBy(key).agg(F.sort_array(F.collect_set(value)).alias("collected"))
+def collect_distinct(df: DataFrame, keys: str | Sequence[str], value: str, length: int = 10_000) -> DataFrame:
+    """Sorted distinct values per key, in slices as in ``collect_lists``.
+
+    Repeats go first, map-side, and what is left is placed by ranges, so neither the rows nor the values of a key meet in one task.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return collect_lists(df.select(*keys, value).distinct(), keys, value, length=length)
 
 
 def integer_mean(column: str, name: str) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftwork.operators import hotkeys
 from weftwork.session import checkpointed
 
 
@@ -61,7 +62,7 @@ def band_average_bucketed(left, right, keys, value, amount, width, row_columns,
     The filter stays, since a neighbour bucket also holds values that are too far.
     """
     probes, sums = _reduced(left, right, keys, value, amount, scale)
-    reach =F.explode(F.array(*[_bucket(value, width) + step for step in (-1, 0, 1)]))
+    reach = F.explode(F.array(*[_bucket(value, width) + step for step in (-1, 0, 1)]))
     met = probes.withColumn("__bucket", reach).join(
         sums.withColumn("__bucket", _bucket("__near", width)), [*keys, "__bucket"]
     )
@@ -69,13 +70,16 @@ def band_average_bucketed(left, right, keys, value, amount, width, row_columns,
 
 
 def band_average_salted(
-    left, right, keys, value, amount, width, row_columns, salts: int = 16, scale: int | None = None
+    left, right, keys, value, amount, width, row_columns, scale: int | None = None, target: int | None = None
 ) -> DataFrame:
-    """One key's right side spread over ``salts`` parts by a hash of its value; probes go to every part."""
+    """A hot key's right side spread by a hash of its value over parts of about ``target`` rows; its probes go to every part.
+
+    The parts are measured on the reduced right side, which is what meets the probes, so a key whose values repeat is not split.
+    """
     probes, sums = _reduced(left, right, keys, value, amount, scale)
-    met = probes.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).join(
-        sums.withColumn("__salt", F.pmod(F.xxhash64("__near"), F.lit(salts)).cast("int")), [*keys, "__salt"]
-    )
+    sums = checkpointed(sums)
+    hot = hotkeys.salts_for_hot_keys(sums, keys, target)
+    met = hotkeys.copied(probes, hot, keys).join(hotkeys.spread(sums, hot, keys, "__near"), [*keys, "__salt"])
     return _averaged(left, met, keys, value, width, row_columns)
 
 
@@ -124,20 +128,13 @@ def band_average_running(left, right, keys, value, amount, width, row_columns, s
     return _per_row(left, bands.where("__n > 0"), keys, value, row_columns)
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: str, salts: int = 16, hot_keys: int = 1000
-) -> DataFrame:
-    """Inner equi join where keys with very many right rows are split into ``salts`` parts.
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: str, target: int | None = None) -> DataFrame:
+    """Inner equi join where keys with very many right rows are split into parts of about ``target`` rows.
 
-    A key is hot if it has more than a ``hot_keys``-th of the right rows. There are fewer than
-    ``hot_keys`` of them, whatever the data is, so their list may be broadcast. Only left rows of hot
-    keys are copied. For a key too large for one task where AQE's skew join is not at hand.
+    Hot keys and their sizes come from one pass over the keys of ``right`` (see ``hotkeys``), so a key with a third of all rows is
+    split in proportion, into a third as many parts as there are partitions, and other keys not at all. Only left rows of hot
+    keys are copied. Each table is read once more for the join. For a key too large for one task where AQE's skew join is not at hand.
     """
-    counts = right.groupBy(*keys).agg(F.count("*").alias("__n"))
-    total = right.agg(F.count("*").alias("__total")).scalar()
-    hot = F.broadcast(counts.where(F.col("__n") > total / hot_keys).select(*keys, F.lit(salts).alias("__salts")))
-    part = F.pmod(F.xxhash64(row_id), F.coalesce("__salts", F.lit(1))).cast("int")
-    spread = right.join(hot, list(keys), "left").withColumn("__salt", part).drop("__salts")
-    every = F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))
-    copies = left.join(hot, list(keys), "left").withColumn("__salt", every).drop("__salts")
-    return copies.join(spread, [*keys, "__salt"]).drop("__salt")
+    hot = hotkeys.salts_for_hot_keys(right, keys, target)
+    parts = hotkeys.spread(right, hot, keys, row_id)
+    return hotkeys.copied(left, hot, keys).join(parts, [*keys, "__salt"]).drop("__salt")

@@ -38,16 +38,19 @@ def current_titles(titles: DataFrame, key: str, title: list[str], order: list[st
     return latest_row(titles, [key], title, order)
 
 
-def pay_by_department(hires: DataFrame, memberships: DataFrame, pay: DataFrame, after: str, before: str) -> DataFrame:
+def pay_by_department(
+    hires: DataFrame, memberships: DataFrame, pay: DataFrame, after: str, before: str, scale: int | None = None
+) -> DataFrame:
     """Mean pay by department of those hired in a range.
 
-    Written as a comma list with WHERE over (key, hired), (key, department) and (key, amount).
+    Written as a comma list with WHERE over (key, hired), (key, department) and (key, amount). Amounts are added in their own
+    type, or as decimals of ``scale`` places.
     """
+    amount = "p.amount" if scale is None else f"CAST(p.amount AS DECIMAL(28, {int(scale)}))"
     return hires.sparkSession.sql(
-        """
-        SELECT m.department,
-               CAST(sum(CAST(p.amount AS DECIMAL(18, 2))) AS DOUBLE) / count(p.amount) AS mean_amount
-        FROM {hires} h, {memberships} m, {pay} p
+        f"""
+        SELECT m.department, CAST(sum({amount}) AS DOUBLE) / count(p.amount) AS mean_amount
+        FROM {{hires}} h, {{memberships}} m, {{pay}} p
         WHERE h.key = m.key AND h.key = p.key AND h.hired > :after AND h.hired < :before
         GROUP BY m.department""",
         args={"after": after, "before": before}, hires=hires, memberships=memberships, pay=pay,

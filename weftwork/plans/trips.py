@@ -112,5 +112,13 @@ def sharing_impact(
     )
 
 
+def with_zone_names(groups: DataFrame, zones: DataFrame, zone: str) -> DataFrame:
+    """Groups with the columns of ``zones`` in the place of the zone's number; groups of unknown zones go.
+
+    Names come in when trips have become groups, so they are never shuffled with trips.
+    """
+    return groups.join(zones, zone).drop(zone)
+
+
 def sharing_total(impact: DataFrame) -> DataFrame:
     return impact.agg(F.sum("total_impact").alias("total"))
