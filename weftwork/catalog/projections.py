@@ -121,3 +121,19 @@ def label_case(t: Tables):
     return t.orders.select(
         "o_orderkey", text.label(F.col("o_totalprice") >= 250000, "expensive", "cheap").alias("price_label")
     )
+
+
+@query("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS unknown, true AS share_is_near FROM lineitem")
+def sample_fraction_profile(t: Tables):
+    """A sample of a tenth: no row twice, none that the table lacks, and a share within six deviations."""
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    # Told apart by their number among equal rows, so that equal rows of the table are no repeats.
+    numbered = t.lineitem.groupBy(*key).agg(F.count("*").alias("there"))
+    taken = project.sample_fraction(t.lineitem, 0.1, seed=7).groupBy(*key).agg(F.count("*").alias("taken"))
+    both = numbered.join(taken, key, "full")
+    totals = both.agg(
+        F.sum("there").alias("rows"), F.sum("taken").alias("sampled"),
+        F.count_if(F.col("taken") > F.col("there")).alias("repeated"), F.count_if(F.col("there").isNull()).alias("unknown"),
+    )
+    near = F.abs(F.col("sampled") - 0.1 * F.col("rows")) <= 6 * F.sqrt(0.09 * F.col("rows"))
+    return totals.select("rows", "repeated", "unknown", near.alias("share_is_near"))

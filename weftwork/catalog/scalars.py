@@ -122,6 +122,17 @@ def age_years(t: Tables):
     return t.orders.select("o_orderkey", dates.full_years("o_orderdate", F.lit("2002-05-15").cast("date")).alias("years"))
 
 
+@query("""
+SELECT o_orderkey, CAST(date_part('year', age(TIMESTAMP '2003-02-28', born)) AS INTEGER) AS years
+FROM (SELECT o_orderkey, CAST(TIMESTAMP '1992-02-28' + INTERVAL (CAST(o_orderkey % 3 AS INTEGER)) DAY AS TIMESTAMP) AS born FROM orders)""")
+def age_years_leap(t: Tables):
+    """Births on 28 and 29 February and 1 March of a leap year, seen from 28 February."""
+    born = F.expr("CAST(date_add(DATE '1992-02-28', CAST(o_orderkey % 3 AS INT)) AS TIMESTAMP)")
+    return t.orders.select("o_orderkey", born.alias("born")).select(
+        "o_orderkey", dates.full_years("born", F.lit("2003-02-28").cast("date")).alias("years")
+    )
+
+
 @query("""
 SELECT event_id, make_timestamp((1704067200000 + event_id * 1500) * 1000) AS created,
        CAST(floor(epoch(ts)) AS BIGINT) AS seconds

@@ -113,6 +113,14 @@ def stream_processing_time(t: Tables):
     return run_to_table(windows.by_processing_time(_events(t), "10 seconds", "props"), "complete")
 
 
+@query("SELECT CAST(sum(length(props)) AS BIGINT) AS characters, CAST(10 AS BIGINT) AS shortest, CAST(10 AS BIGINT) AS longest FROM events")
+def stream_processing_time_total(t: Tables):
+    """Characters over all windows of the clock, whichever they were, and the length of these windows."""
+    found = run_to_table(windows.by_processing_time(_events(t), "10 seconds", "props"), "complete")
+    length = F.timestamp_diff("SECOND", F.col("start"), F.col("end"))
+    return found.agg(F.sum("characters").alias("characters"), F.min(length).alias("shortest"), F.max(length).alias("longest"))
+
+
 @query(f"""
 SELECT "start", "end", event_type AS color, count(*) AS n FROM {_bounds(2)}
 WHERE "end" <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 SECONDS FROM events) GROUP BY 1, 2, 3""")

@@ -4,11 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-
-_TYPES = {
-    "string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(),
-    "date": T.DateType(), "timestamp": T.TimestampType(), "longs": T.ArrayType(T.LongType()),
-}
+_TYPES = {"string": T.StringType(), "long": T.LongType()}
 
 
 def layout(text: str) -> T.StructType:
@@ -17,31 +13,7 @@ def layout(text: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-CAR = layout(
-    "Name string, Miles_per_Gallon double, Cylinders long, Displacement double, Horsepower long,"
-    " Weight_in_lbs long, Acceleration double, Year string, Origin string"
-)
 PERSON = layout(
     "id long, first_name string, middle_name string, last_name string, gender string,"
     " birth_date string, ssn string, salary long"
 )
-STOCK = layout("company string, date date, value double")
-PURCHASE = layout("id string, time timestamp, item string, quantity int")
-COLOUR_EVENT = layout("created timestamp, color string")
-LAPTOP = layout("registration string, make string, model string, procSpeed double")
-LAPTOP_OFFER = layout("make string, model string, procSpeed double, salePrice double")
-GUITAR = layout("configurationId string, make string, model string, soundScore double")
-GUITAR_SALE = layout(
-    "registration string, make string, model string, soundScore double, salePrice double"
-)
-FLIGHT_SUMMARY = layout("DEST_COUNTRY_NAME string, ORIGIN_COUNTRY_NAME string, count int")
-BAND = layout("id long, name string, hometown string, year long")
-PLAYER = layout("id long, name string, guitars longs, band long")
-INSTRUMENT = layout("id long, model string, make string, guitarType string")
-TAXI_ZONE = layout("LocationID int, Borough string, Zone string, service_zone string")
-EXAM_ID = layout("id long, name string")
-EXAM_EMAIL = layout("id long, email string")
-EXAM_SCORE = layout("id long, score double")
-METRIC = layout("name string, value double")
-HOLDING = layout("id string, type string, from string, to string, rate double, eid long")
-CASE_LINK = layout("id long, from long, to long, type string")
