@@ -231,8 +231,9 @@ def windowed_best_tag(t: Tables):
 # Windows that are closed by a watermark: written once, in append mode, and only those that can get no further row.
 
 
-def _closed(late: int) -> str:
-    return f""""end" <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL {late} SECONDS FROM events)"""
+def _closed(late: int, seen: str = "true") -> str:
+    """The watermark is that of the rows that reach the windows."""
+    return f""""end" <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL {late} SECONDS FROM events WHERE {seen})"""
 
 
 def _slices(t: Tables, count: int = 4):
@@ -283,7 +284,7 @@ def pane_word_count(t: Tables):
 
 @query(f"""
 SELECT "start", "end", CAST(2 * count(*) AS BIGINT) AS money FROM {_bounds(45, 30)}
-WHERE length(event_type) >= 6 AND {_closed(30)} GROUP BY 1, 2""")
+WHERE length(event_type) >= 6 AND {_closed(30, "length(event_type) >= 6")} GROUP BY 1, 2""")
 def pane_money(t: Tables):
     """45 seconds by 30: the slide does not divide the window, so panes are 15 seconds long."""
     def build(rows):
