@@ -173,6 +173,44 @@ def test_html_odd(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "<p>" + "The long article has words here and there. " * 8 + "</p>"
+REST = '<div class="sidebar"><p>side text words</p></div><div class="cookie-bar"><p>We use cookies on this site</p></div>'
+
+
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>"])
+@pytest.mark.parametrize("box", ["no-sidebar", "site has-menu", "content-with-widget", "alert-news"])
+def test_html_theme_classes(box, inner):
+    page = f'<body><nav><a href="x">menu</a></nav><div class="{box}">{inner.format(LONG * 3)}</div>{REST}</body>'
+    assert html_text.main_text(page) == "\n".join([" ".join(["The long article has words here and there."] * 8)] * 3)
+
+
+@pytest.mark.parametrize("box", ["sidebar", "post-comments", "comments-area", "ad-slot", "related", "popup-open", "newsletter"])
+def test_html_named_boxes_go(box):
+    page = f'<body><div class="story">{LONG}</div><div id="{box}"><p>{"Not the article at all. " * 14}</p></div></body>'
+    assert html_text.main_text(page) == " ".join(["The long article has words here and there."] * 8)
+
+
+def test_html_comments_longer_than_the_article():
+    page = f'<body><article><h1>T</h1>{LONG}</article><div class="post-comments"><article>{LONG * 9}</article></div></body>'
+    assert html_text.main_text(page).count("The long article") == 8
+
+
+def test_html_articles_by_density():
+    """A linked teaser marked as an article is left out, a second article and text beside the element are taken."""
+    teaser = '<article class="card"><a href="x">A teaser of another story is here</a></article>'
+    second = f"<article><h2>Second</h2>{LONG}</article>"
+    beside = f"<div>{LONG.replace('long', 'other')}</div>"
+    text = html_text.main_text(f"<body><article>{LONG * 2}</article>{teaser}{second}{beside}</body>")
+    assert "teaser" not in text
+    assert "Second" in text and text.count("The long article") == 24 and text.count("The other article") == 8
+
+
+def test_html_clashing_columns(spark):
+    rows = [(1, "u", "<p>a b</p>", "x", 5, 6), (1, "u", "<p>a b</p>", None, None, None)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long, filter int")
+    assert [tuple(r) for r in html_text.extract(table).collect()] == [(1, "u", "a b", 3)] * 2
+
+
 def test_html_deep_and_null(spark):
     table = spark.createDataFrame([(1, None, None), (2, "u", "<div>" * 3000 + "deep")], "page_id long, url string, html string")
     got = {r.page_id: (r.text, r.n_chars) for r in html_text.extract(table).collect()}

@@ -1,10 +1,14 @@
 """Main text of web pages by composite text density.
 
 Every node of the page's tree has a number of characters per tag, lowered by the share of its characters in links. The node whose
-children's densities have the largest sum is the core of the article, or the article element around it. The least
+children's densities have the largest sum is the core of the article; an article element around it is taken with it. The least
 density on the way from the core up to the body is the threshold: other subtrees that reach it are taken too, each with
-its own node of largest sum. Menus, headers, footers, side bars, notices, adverts, forms, comments, scripts and styles
-are taken out before.
+its own node of largest sum, and further article elements as well only if they reach it. Menus, headers, footers, side bars,
+notices, adverts, forms, comments, scripts and styles are taken out before.
+
+A box whose class or id only names such a part (``no-sidebar``, ``content-with-widget``) is not one, and a named box goes
+only if the page is not inside it: it stays if few of its characters are links and it outweighs all text outside
+named boxes, and either has the page's only main heading or article element, or has a name of another part (``alert-news``) and four times that text.
 
 Defined cases: null, empty or malformed html gives what text can be found, else an empty string; text without any tag is
 one block; every row gives one row.
@@ -49,26 +53,46 @@ _NAMES = frozenset(
     " comment comments commentlist discussion replies respond disqus reactions".split()
 )
 _JOINED = ("sidebar", "advert", "cookie", "breadcrumb", "newsletter", "navbar", "comment-", "comments", "footer", "popup")
+_COMMENTS = frozenset("comment comments commentlist discussion replies respond disqus reactions".split())
+_MODIFIERS = frozenset("no not has have with without hide show is".split())
+_MAIN = frozenset("h1 main article".split())
+_GONE, _NAMED, _PARTLY = 3, 2, 1  # never text; named as another part; another part in the name
+_AROUND = 4  # a box partly named so holds this many times the text outside named boxes, or has the main heading
+
+
+def _by_name(word: str) -> int:
+    parts = re.split(r"[-_]", word)
+    if not _MODIFIERS.isdisjoint(parts):
+        parts = parts[:next(i for i, part in enumerate(parts) if part in _MODIFIERS)]
+        word = "-".join(parts)
+    if not parts or _NAMES.isdisjoint(parts) and not word.startswith(_JOINED):
+        return 0
+    if word in _NAMES or parts[-1] in _NAMES or not _COMMENTS.isdisjoint(parts) or word.startswith(_JOINED):
+        return _NAMED
+    return _PARTLY
 
 
-def _unwanted(tag: str, attrs: str) -> bool:
+def _unwanted(tag: str, attrs: str) -> tuple[int, bool]:
+    """How sure it is that an element is no text, and whether it is named as reader comments."""
     if tag in _DROPPED:
-        return True
+        return _GONE, False
     if not attrs or tag in ("body", "html", "article", "main"):
-        return False
+        return 0, False
+    sure, comments = 0, False
     for name, *values in _ATTRIBUTE.findall(attrs):
         name, value = name.lower(), (values[0] or values[1] or values[2]).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return _GONE, False
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return _GONE, False
         if name == "role" and value.strip() in _ROLES:
-            return True
+            return _GONE, False
         if name in ("class", "id"):
             for word in value.split():
-                if word in _NAMES or not _NAMES.isdisjoint(re.split(r"[-_]", word)) or word.startswith(_JOINED):
-                    return True
-    return False
+                found = _by_name(word)
+                sure = max(sure, found)
+                comments |= found == _NAMED and not _COMMENTS.isdisjoint(re.split(r"[-_]", word))
+    return sure, comments
 
 
 class _Node:
@@ -135,17 +159,67 @@ def _tree(page: str) -> tuple[_Node, list[_Node]]:
         top = node
 
 
-def _measure(nodes: list[_Node]) -> None:
-    for node in nodes:
+def _own_chars(node: _Node) -> int:
+    return sum(len(_SPACE.sub(" ", p).strip()) for p in node.parts if isinstance(p, str))
+
+
+def _drop(nodes: list[_Node]) -> None:
+    """Mark elements that are no text. The largest named boxes are judged first, then those inside the ones that stay."""
+    boxes: list[list] = []  # node, sureness, comments, all characters, link characters, characters and main elements outside inner boxes
+    of: dict[int, list] = {}  # the innermost box around a node
+    outside = [nodes[0], 0, False, 0, 0, 0, 0]
+    of[id(nodes[0])] = outside
+    for node in nodes[1:]:
         above = node.parent
-        if above is not None:
-            in_article = node.tag == "header" and above.tag in ("article", "main", "section") and not above.dropped
-            node.dropped = above.dropped or not in_article and _unwanted(node.tag, node.attrs)
+        in_article = node.tag == "header" and above.tag in ("article", "main", "section") and not above.dropped
+        sure, comments = (0, False) if in_article else _unwanted(node.tag, node.attrs)
+        node.dropped = above.dropped or sure == _GONE
+        box = of[id(above)]
+        if not node.dropped and sure:
+            box = [node, sure, comments, 0, 0, 0, 0]
+            boxes.append(box)
+        of[id(node)] = box
+    if not boxes:
+        return
+    links: set[int] = set()
+    for node in nodes:
+        if node.dropped:
+            continue
+        if node.tag == "a" or node.parent is not None and id(node.parent) in links:
+            links.add(id(node))
+        box, own = of[id(node)], _own_chars(node)
+        box[5] += own
+        box[6] += node.tag in _MAIN
+        box[3] += own
+        box[4] += own if id(node) in links else 0
+    for box in reversed(boxes):  # inner boxes come later
+        around = of[id(box[0].parent)]
+        around[3] += box[3]
+        around[4] += box[4]
+    text, heads = outside[5], outside[6]
+    for box in sorted(boxes, key=lambda b: -b[3]):
+        node, sure, comments, chars, linked, own, main = box
+        above = of[id(node.parent)][0]
+        if above.dropped:
+            node.dropped = True
+            continue
+        stays = not comments and 2 * linked < max(1, chars) and own >= text and (
+            main > 0 and not heads or sure == _PARTLY and own >= _AROUND * text
+        )
+        if stays:
+            text, heads = text + own, heads + main
+        else:
+            node.dropped = True
+    for node in nodes[1:]:
+        node.dropped = node.dropped or node.parent.dropped
+
+
+def _measure(nodes: list[_Node]) -> None:
+    _drop(nodes)
     for node in reversed(nodes):
         if node.dropped:
             continue
-        own = sum(len(_SPACE.sub(" ", p).strip()) for p in node.parts if isinstance(p, str))
-        node.chars += own
+        node.chars += _own_chars(node)
         if node.tag == "a":
             node.link_chars = node.chars
             node.link_tags += 1
@@ -186,41 +260,35 @@ def _chosen(nodes: list[_Node]) -> set[int]:
     if not live:
         return set()
     core = _core(live)
-    around, article = core, None
-    while around is not None:
-        if around.tag in ("article", "main"):
-            article = around
-            break
-        around = around.parent
-    if article is not None:
-        return {id(n) for n in live if n is article or n.tag == "article" and not _within(n, article)}
-    threshold, node = core.density, core
-    while node.parent is not None:
-        node = node.parent
+    threshold, node, taken = core.density, core, core
+    while node is not None:
         threshold = min(threshold, node.density)
-    chosen, stack = {id(core)}, [nodes[0]]
+        if node.tag in ("article", "main") and taken is core:
+            taken = node
+        node = node.parent
+    chosen, stack = {id(taken)}, [nodes[0]] if taken is not nodes[0] else []
+    around = {id(nodes[0])}
+    node = taken
+    while node is not None:
+        around.add(id(node))
+        node = node.parent
     while stack:
         for child in stack.pop().children:
-            if child.dropped or not child.chars or child is core:
+            if child.dropped or not child.chars or child is taken:
                 continue
-            if _within(core, child):
+            if id(child) in around:
                 stack.append(child)
             elif child.density >= threshold:
                 best = _core([n for n in _inside(child) if n.chars])
                 chosen.add(id(best if best.tag in _BLOCKS and best.chars >= 0.9 * child.chars else child))
-    if core.tag not in _BLOCKS and core.parent is not None:
-        chosen.add(id(core.parent))
+    for node in live:
+        if node.tag == "article" and id(node) not in around and node.density < threshold and 2 * node.link_chars > node.chars:
+            node.dropped = True  # a linked teaser inside the core
+    if taken.tag not in _BLOCKS and taken.parent is not None:
+        chosen.add(id(taken.parent))
     return chosen
 
 
-def _within(node: _Node, ancestor: _Node) -> bool:
-    while node is not None:
-        if node is ancestor:
-            return True
-        node = node.parent
-    return False
-
-
 def main_text(page: str) -> str:
     """The article of a page, one line per block."""
     root, nodes = _tree(page)
