@@ -167,3 +167,43 @@ def test_embeddings_empty_and_repeated(spark):
     assert embed_dedup.near_duplicates(spark.createDataFrame([], schema)).count() == 0
     got = embed_dedup.near_duplicates(spark.createDataFrame([(1, [1.0, 2.0, 3.0], 0)] * 2 + [(2, [2.0, 4.0, 6.0], 0)], schema)).collect()
     assert [r.n_links for r in got] == [2, 2, 2] and {r.component_id for r in got} == {1}
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e200, 1e-200])
+@pytest.mark.parametrize("kind, labels", [("string", "ab"), ("long", (1 << 40, 7)), ("int", (0, 1))])
+def test_embeddings_of_doubles_and_any_label(spark, scale, kind, labels):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(60):
+        v = rng.standard_normal(24)
+        rows += [(3 * i, [float(x) * scale for x in v], labels[i % 2]), (3 * i + 1, [float(x) * scale * 3 for x in v], labels[i % 2])]
+        rows.append((3 * i + 2, [float(x) for x in v + 0.4 * rng.standard_normal(24)], labels[1 - i % 2]))
+    schema = f"vec_id long, embedding array<double>, label {kind}, filter string, class int, n int, root int"
+    table = spark.createDataFrame([(*r, None, 1, 2, 3) for r in rows], schema)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(table).collect()}
+    unit = {i: np.array(v) / scale_of for i, v, _ in rows for scale_of in [max(map(abs, v))]}
+    label = {i: x for i, _, x in rows}
+    cosine = lambda a, b: a @ b / (np.linalg.norm(a) * np.linalg.norm(b))
+    links = {i: sum(j != i and label[i] == label[j] and cosine(unit[i], unit[j]) >= 0.98 for j in unit) for i in unit}
+    assert {i: n for i, (n, _) in got.items()} == links
+    assert got[0] == (1, 0) and got[1] == (1, 0)
+
+
+def test_embeddings_of_integers(spark):
+    schema = "vec_id long, embedding array<int>, label string"
+    got = embed_dedup.near_duplicates(spark.createDataFrame([(1, [1, 2], "a"), (2, [2, 4], "a"), (3, [0, 0], "a"), (4, [2, -1], "a")], schema))
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got.collect()) == [(1, 1, 1), (2, 1, 1), (3, 0, 3), (4, 0, 4)]
+
+
+def test_embeddings_with_a_third_in_one_cap(spark, monkeypatch):
+    """A filter with more classes than a chunk, against all pairs."""
+    monkeypatch.setattr(embed_dedup, "CHUNK", 40)
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal(16)
+    vectors = [centre + 0.14 * rng.standard_normal(16) for _ in range(200)] + list(rng.standard_normal((400, 16)))
+    table = spark.createDataFrame([(i, [float(x) for x in v], "a") for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label string")
+    unit = np.stack(vectors) / np.linalg.norm(np.stack(vectors), axis=1)[:, None]
+    links = ((unit @ unit.T) >= 0.98).sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in embed_dedup.near_duplicates(table).collect()}
+    assert sum(links) > 2000 and sum(got.values()) >= 0.9 * sum(links)
+    assert all(n <= links[i] for i, n in got.items())

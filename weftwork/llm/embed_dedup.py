@@ -6,6 +6,8 @@ holds on average ``FILTERS`` directions of the code, whatever its size. Vectors
 verified by its cosine in double precision in the first filter that the two share.
 
 Equal vectors of a label are one class before filters are computed. A filter with very many classes is compared in pairs of chunks.
+Vectors keep the type of their elements (float, or double for all others), and labels may have any type that can be grouped.
+Before lengths are taken a vector is divided by a power of two, so that squares neither overflow nor vanish.
 
 Defined cases: a vector that is null, empty, zero, or holds null or non-finite elements, and one without a label, links with
 nothing and is its own component; vectors of different length do not link; repeated rows are vectors of their own that link.
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ FILTERS = 20.0  # directions that a vector exceeds, on average
 PER_FILTER = 8.0  # vectors that a filter holds, about, if they are spread evenly
 CHUNK = 2048
 TILE = 512
+DECODED = 1 << 18  # inner products held at a time for each half of the code
 
 
 def _cap(dimension: int, share: float) -> float:
@@ -71,17 +74,25 @@ def decode(vectors: np.ndarray, size: int) -> list[np.ndarray]:
     return found
 
 
-def _filters(size: int):
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows in double precision, each divided by the power of two next to its largest component."""
+    vectors = vectors.astype(np.float64)
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
+def _filters(size: int, element: np.dtype):
+    rows_at_once = max(16, min(512, DECODED // size))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
-                vectors = [np.array(v, np.float32) for v in part.column(3).to_pylist()]
+            for i in range(0, batch.num_rows, rows_at_once):
+                part = batch.slice(i, rows_at_once)
+                vectors = [np.array(v, element) for v in part.column(3).to_pylist()]
                 decoded: list = [None] * len(vectors)
                 lengths = np.array([len(v) for v in vectors])
                 for dimension in np.unique(lengths):
                     rows = np.flatnonzero(lengths == dimension)
-                    matrix = np.stack([vectors[r] for r in rows]).astype(np.float64)
+                    matrix = _scaled(np.stack([vectors[r] for r in rows]))
                     matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
                     for r, filters in zip(rows, decode(matrix, size)):
                         decoded[r] = filters
@@ -105,7 +116,7 @@ def _first_shared(filters: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.where(both.any(axis=1), filters[np.arange(len(filters)), both.argmax(axis=1)], -1)
 
 
-def _verify(table: pa.Table) -> Iterator[pa.RecordBatch]:
+def _verify(table: pa.Table, element: np.dtype) -> Iterator[pa.RecordBatch]:
     parts, which, classes, n = (table.column(i).to_numpy() for i in range(4))
     vectors, lists = table.column(4).to_pylist(), table.column(5).to_pylist()
     heads = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]]))
@@ -116,7 +127,7 @@ def _verify(table: pa.Table) -> Iterator[pa.RecordBatch]:
             continue
         out.extend(_verify_part(
             int(which[head]), classes[head:end], n[head:end], table.column(6).slice(head, end - head).to_numpy(),
-            np.stack([np.frombuffer(v, np.float32) for v in vectors[head:end]]).astype(np.float64), lists[head:end],
+            _scaled(np.stack([np.frombuffer(v, element) for v in vectors[head:end]])), lists[head:end],
         ))
     if out:
         a, b, c = (np.concatenate(x) for x in zip(*out))
@@ -163,8 +174,10 @@ def _verify_part(which, classes, n, chunk, vectors, lists):
 def near_duplicates(embeddings: DataFrame) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     vectors = embeddings.select("vec_id", "embedding", "label")
-    element = vectors.schema["embedding"].dataType.elementType
-    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= F.lit(3.4e38).cast(element)))
+    kind, element = vectors.schema["label"].dataType.simpleString(), np.dtype(np.float32)
+    if vectors.schema["embedding"].dataType.elementType.typeName() != "float":
+        vectors, element = vectors.withColumn("embedding", F.col("embedding").cast("array<double>")), np.dtype(np.float64)
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
     usable = F.coalesce(
         F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x != 0), F.lit(False)
     )
@@ -173,15 +186,15 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
         rows.where(F.col("class").isNotNull()).groupBy("class", "label", "embedding")
         .agg(F.count("*").alias("n"), F.min("vec_id").alias("first_id"))
     )
-    size = int(np.clip(math.ceil(math.sqrt(classes.count() / PER_FILTER * FILTERS)), 48, 4096))
+    size = max(48, math.ceil(math.sqrt(classes.count() / PER_FILTER * FILTERS)))
     placed = classes.select("class", "label", "n", "embedding").mapInArrow(
-        _filters(size), "dimension int, label int, filter long, class long, n long, vector binary, filters binary"
+        _filters(size, element), f"dimension int, label {kind}, filter long, class long, n long, vector binary, filters binary"
     )
     parts = in_chunk_pairs(placed, ["dimension", "label", "filter"], "class", CHUNK)
     found = checkpointed(
         parts.repartition("part").sortWithinPartitions("part", "filter")
         .select("part", "filter", "class", "n", "vector", "filters", "chunk")
-        .mapInArrow(by_whole_groups(20_000, 1, _verify), "class long, root long, links long")
+        .mapInArrow(by_whole_groups(20_000, 1, partial(_verify, element=element)), "class long, root long, links long")
     )
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     roots = components(found.select("class", "root")).select(F.col("vertex").alias("class"), F.col("root"))
