@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -114,6 +115,56 @@ def test_packing_empties_windows():
     assert sum(r[2] for r in packer.rows) == sum(sizes) and packer.next_id == -(-sum(sizes) // 16)
 
 
+def levels_of(packer):
+    return sorted(level for level, windows in enumerate(packer.open) for _ in windows)
+
+
+def test_packing_follows_the_sum_of_squares():
+    """Every document goes where the squared counts of partly filled windows, listed for all places, have the least sum."""
+    rng = np.random.default_rng(3)
+    packer, levels, window = packing.Packer(0, window=24), [], 24
+    for i, size in enumerate(rng.integers(1, 24, 800)):
+        size = int(size)
+        packer.add(i, np.arange(size, dtype="<u4").tobytes())
+
+        def cost(place):
+            after = Counter(levels)
+            after[place] -= 1
+            after[place + size] += 1
+            return sum(n * n for level, n in after.items() if 0 < level < window)
+
+        places = [0, *sorted({x for x in levels if x + size <= window})]
+        least = min(map(cost, places))
+        place = max(p for p in places if cost(p) == least)
+        levels = sorted([*(levels[:levels.index(place)] + levels[levels.index(place) + 1:] if place else levels), place + size])
+        levels = [x for x in levels if x < window]
+        assert levels_of(packer) == levels
+    assert len(levels) > 1
+
+
+@pytest.mark.parametrize("sizes", [[13] * 5000, [13, 9, 23, 40] * 1500])
+def test_packing_with_little_memory(sizes):
+    """Documents of which no two share a window keep windows open until the bound on bytes."""
+    packer = packing.Packer(0, window=24, held=4 * 13 * 3000)
+    most = 0
+    for i, size in enumerate(sizes):
+        packer.add(i, np.arange(size, dtype="<u4").tobytes())
+        most = max(most, packer.n_open)
+        assert packer.bytes == 4 * sum(levels_of(packer)) <= 4 * 13 * 3000
+    assert most > 2048 or sizes[1] != 13
+    packer.close()
+    pieces = {}
+    for doc, start, length, *_ in packer.rows:
+        pieces.setdefault(doc, []).append((start, length))
+    for doc, size in enumerate(sizes):
+        at = 0
+        for start, length in sorted(pieces[doc]):
+            assert start == at and length > 0
+            at += length
+        assert at == size
+    assert packer.next_id == -(-sum(sizes) // 24) and packer.bytes == 0
+
+
 def test_leaks_are_those_of_plain_search(real):
     items = {r.item_id: r.text for r in real["benchmark"].collect()}
     want = {(r.doc_id, i) for r in real["documents"].collect() for i, t in items.items() if t in (r.text or "")}

@@ -2,8 +2,9 @@
 
 Each partition packs its own documents as they come. A document is cut into full windows and a rest; the rest goes to the fill
 level that makes the sum of the squared numbers of partly filled windows smallest, over an array with one count per
-level. At the end (or when very many windows are open) the emptiest windows are taken apart and cut to fill
-the gaps of the fullest, so that at most one window per partition is not full.
+level. At the end the emptiest windows are taken apart and cut to fill the gaps of the fullest, so that at most one window per
+partition is not full. Ids of open windows take at most ``HELD`` bytes of a task: when documents would go over it, as many of the emptiest
+windows as need be are taken apart in the same way, one at a time, and all others stay open under the same rule.
 
 The byte-level vocabulary is read from its rank file: the ids are those of the tokenizer file of the same vocabulary (a test
 compares the two on whole tables), in a quarter of its time. The added tokens that the tokenizer file beside it lists, such as
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 
 WINDOW = 2048
 END_TOKEN = 1
-OPEN_WINDOWS = 2048  # partly filled windows of a task beyond which it empties some
+HELD = 64 << 20  # bytes of ids in the open windows of a task
 
 _encoders: dict[str, Encoder] = {}
 
@@ -72,8 +73,9 @@ def encoder(path: str) -> Encoder:
 class Packer:
     """Windows of one partition. ``rows`` holds finished pieces until they are taken."""
 
-    def __init__(self, first_id: int, window: int = WINDOW):
-        self.window, self.next_id = window, first_id
+    def __init__(self, first_id: int, window: int = WINDOW, held: int = HELD):
+        self.window, self.next_id, self.held = window, first_id, held
+        self.bytes = 0  # of ids in open windows
         self.counts = np.zeros(window + 1)  # partly filled windows at each level
         self.counts[window] = -0.5  # so that filling a window counts as leaving its level only
         self.open: list[list[list[tuple]]] = [[] for _ in range(window)]
@@ -81,6 +83,7 @@ class Packer:
         self.rows: list[tuple] = []
 
     def _finish(self, pieces: list[tuple]) -> None:
+        """Rows of a window that is no longer open."""
         offset = 0
         for doc, start, ids, total in pieces:
             length = len(ids) // 4
@@ -103,45 +106,49 @@ class Packer:
             change = np.where(counts[1:room + 1] > 0, 2 * (counts[size + 1:] - counts[1:room + 1]) + 2, np.inf)
             if room and change[at := room - 1 - int(np.argmin(change[::-1]))] <= best:
                 level = at + 1
-        pieces = self.open[level].pop() if level else []
-        if level:
-            counts[level] -= 1
-            self.n_open -= 1
+        pieces = self._take(level) if level else []
         pieces.append(piece)
-        if level + size == self.window:
+        self._put(level + size, pieces)
+        while self.bytes > self.held and self.n_open > 1:
+            self._empty_one()
+
+    def _take(self, level: int) -> list[tuple]:
+        self.counts[level] -= 1
+        self.n_open -= 1
+        self.bytes -= 4 * level
+        return self.open[level].pop()
+
+    def _put(self, level: int, pieces: list[tuple]) -> None:
+        if level == self.window:
             self._finish(pieces)
-        else:
-            self.open[level + size].append(pieces)
-            counts[level + size] += 1
+        elif level:
+            self.open[level].append(pieces)
+            self.counts[level] += 1
             self.n_open += 1
-        if self.n_open > OPEN_WINDOWS:
-            self.close()
+            self.bytes += 4 * level
+
+    def _empty_one(self) -> None:
+        """Move ids from the emptiest open window into the fullest until the one is empty or the other is full."""
+        levels = np.flatnonzero(self.counts[:self.window])
+        fill, left = int(levels[-1]), int(levels[0])
+        taker, giver = self._take(fill), self._take(left)
+        while giver and fill < self.window:
+            doc, start, ids, total = giver.pop()
+            stay = max(0, len(ids) // 4 - (self.window - fill))
+            taker.append((doc, start + stay, ids[4 * stay:], total))
+            fill += len(ids) // 4 - stay
+            left -= len(ids) // 4 - stay
+            if stay:
+                giver.append((doc, start, ids[:4 * stay], total))
+        self._put(fill, taker)
+        self._put(left, giver)
 
     def close(self) -> None:
         """Empty the emptiest windows into the gaps of the fullest, and finish all."""
-        levels = [[level, pieces] for level in range(self.window - 1, 0, -1) for pieces in self.open[level]]
-        for pieces in self.open:
-            pieces.clear()
-        self.counts[:self.window] = 0
-        self.n_open = 0
-        first, last = 0, len(levels) - 1
-        while first < last:
-            (fill, taker), giver = levels[first], levels[last]
-            doc, start, ids, total = giver[1].pop()
-            moved = min(self.window - fill, len(ids) // 4)
-            left = len(ids) // 4 - moved
-            taker.append((doc, start + left, ids[4 * left:], total))
-            if left:
-                giver[1].append((doc, start, ids[:4 * left], total))
-            levels[first][0] += moved
-            giver[0] -= moved
-            if levels[first][0] == self.window:
-                self._finish(taker)
-                first += 1
-            if not giver[1]:
-                last -= 1
-        if first <= last and levels[first][1]:
-            self._finish(levels[first][1])
+        while self.n_open > 1:
+            self._empty_one()
+        if self.n_open:
+            self._finish(self._take(int(np.flatnonzero(self.counts[:self.window])[0])))
 
 
 _SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
