@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from weftwork.operators import gangs, graph, ownership
 
@@ -181,6 +182,26 @@ def test_gangs_like_brute_force(spark, cases, light, least):
     assert len({tuple(r) for r in members}) == len(members)
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.dictionaries(st.integers(0, 12), st.lists(st.integers(0, 9), max_size=9), max_size=12), st.sampled_from([None, 0, 3, 5, 100]),
+    st.integers(2, 4),
+)
+def test_suspects_like_brute_force(spark, cases, light, least):
+    links = links_table(spark, cases)
+    expected = {(m, c) for t, cs in brute_triples(cases, least).items() for c in cs for m in t}
+    found = [tuple(r) for r in gangs.shared_cases(links, least, light).collect()]
+    assert set(found) == expected and len(found) == len(expected)
+
+
+def test_suspects_of_cases_too_large_for_triples(spark):
+    """Three cases with 20,000 holders have 10^12 triples; the holders are found as one class."""
+    links = spark.range(20_000).select(F.explode(F.array(*map(F.lit, range(3)))).alias("case"), F.col("id").alias("member"))
+    links = links.union(spark.createDataFrame([(3, 1), (3, 2), (0, 30_000), (1, 30_000)], "case int, member long"))
+    found = gangs.suspects(links)
+    assert found.count() == 20_000 and found.where("cases = 3").count() == 20_000
+
+
 def test_gangs_with_hot_case(spark):
     """One case holds most members; its pairs are never listed, yet triples over it are found."""
     cases = {0: range(400), 1: range(0, 400, 2), 2: [2, 4, 6, 9], 3: [2, 4, 6, 11], 4: [1, 3, 5]}

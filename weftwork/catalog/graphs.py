@@ -248,6 +248,27 @@ def gang_triples(t: Tables):
     return gangs.triple_counts(_links(t))
 
 
+@query(_TRIPLES.format(least=3) + """,
+met AS (SELECT unnest([m1, m2, m3]) AS member, c FROM triples JOIN occurrences USING (m1, m2, m3))
+SELECT member, count(DISTINCT c) AS cases FROM met GROUP BY member""")
+def gang_suspects(t: Tables):
+    return gangs.suspects(_links(t))
+
+
+@query("""
+WITH l AS (SELECT DISTINCT o_orderpriority || o_orderstatus AS c, o_custkey AS m FROM orders),
+held AS (
+  SELECT a.m, a.c AS c1, b.c AS c2, d.c AS c3, count(*) OVER (PARTITION BY a.c, b.c, d.c) AS n
+  FROM l a JOIN l b ON a.m = b.m AND a.c < b.c JOIN l d ON a.m = d.m AND b.c < d.c),
+met AS (SELECT m AS member, unnest([c1, c2, c3]) AS c FROM held WHERE n >= 3)
+SELECT member, count(DISTINCT c) AS cases FROM met GROUP BY member""")
+def gang_suspects_large(t: Tables):
+    """Fifteen cases at most, each with a large part of all customers; their triples could not be listed."""
+    return gangs.suspects(t.orders.select(
+        F.concat("o_orderpriority", "o_orderstatus").alias("case"), F.col("o_custkey").alias("member")
+    ))
+
+
 @query(_TRIPLES.format(least=3) + """,
 met AS (SELECT l.m AS member, m1, m2, m3, c FROM triples JOIN occurrences USING (m1, m2, m3) JOIN l USING (c)),
 placed AS (

@@ -14,6 +14,10 @@ All triples of a case with n members are n^3 / 6 rows, so triples are never list
   all cases is only ever a member of light ones, unless these are large as well.
 
 Every triple over the limit is found, whatever the sizes are and wherever the line is drawn.
+
+``suspects`` names the members of such triples and their cases without listing triples of large cases: a set of
+``min_cases`` cases that three members have makes all its holders suspects at once. Members with the same large
+cases are one class, so a set is listed once for all of them.
 """
 
 from __future__ import annotations
@@ -65,17 +69,42 @@ def _light_triples(light: DataFrame, large: DataFrame | None, min_cases: int) ->
     return x.join(y, same).select("x.case", "x.m1", "x.m2", F.col("y.m2").alias("m3"))
 
 
-def _large_only_triples(large: DataFrame, min_cases: int) -> DataFrame:
-    """Triples that share ``min_cases`` large cases."""
+def _large_classes(large: DataFrame) -> DataFrame:
+    """(member, class): members with the same large cases are of one class, named after its least member.
+
+    Sets of cases are compared by their number and two 64-bit hashes, as one member may have any number of them.
+    """
+    print_of = [
+        F.count("*").alias("cases"), F.bit_xor(F.xxhash64("case")).alias("mixed"),
+        F.bit_xor(F.xxhash64("case", F.lit(1))).alias("mixed_again"),
+    ]
+    prints = large.groupBy("member").agg(*print_of)
+    keys = ["cases", "mixed", "mixed_again"]
+    named = prints.groupBy(*keys).agg(F.min("member").alias("class"))
+    return prints.join(named, keys).select("member", "class")
+
+
+def _large_sets(large: DataFrame, classes: DataFrame, min_cases: int) -> tuple[DataFrame, list[str]]:
+    """(c1, c2, ..., class) of the sets of ``min_cases`` large cases with three holders; and the names of the cases."""
+    weights = classes.groupBy("class").agg(F.count("*").alias("holders"))
+    held = large.join(weights, F.col("member") == F.col("class")).select("class", "holders", "case")
     chain = ["c1"]
-    sets = large.select("member", F.col("case").alias("c1"))
+    sets = held.withColumnRenamed("case", "c1")
     for step in range(2, min_cases + 1):
-        following = large.select("member", F.col("case").alias(f"c{step}"))
-        sets = sets.join(following, "member").where(f"c{step - 1} < c{step}")
+        following = held.select("class", F.col("case").alias(f"c{step}"))
+        sets = sets.join(following, "class").where(f"c{step - 1} < c{step}")
         chain.append(f"c{step}")
-        shared = sets.groupBy(*chain).agg(F.count("*").alias("n")).where(F.col("n") >= 3).select(*chain)
+        shared = sets.groupBy(*chain).agg(F.sum("holders").alias("n")).where(F.col("n") >= MIN_MEMBERS).select(*chain)
         sets = sets.join(shared, chain, "left_semi")
-    one, two, three = (sets.withColumnRenamed("member", name) for name in TRIPLE)
+    return sets.select(*chain, "class"), chain
+
+
+def _large_only_triples(large: DataFrame, min_cases: int) -> DataFrame:
+    """Triples that share ``min_cases`` large cases."""
+    classes = checkpointed(_large_classes(large))
+    sets, chain = _large_sets(large, classes, min_cases)
+    holders = sets.join(classes, "class").drop("class")
+    one, two, three = (holders.withColumnRenamed("member", name) for name in TRIPLE)
     return (
         one.join(two, chain).where("m1 < m2").join(three, chain).where("m2 < m3").select(*TRIPLE).distinct()
     )
@@ -139,6 +168,37 @@ def shared_triples(links: DataFrame, min_cases: int = MIN_CASES, light: int | No
     return rows.join(enough.select(*TRIPLE), TRIPLE, "left_semi").select(*TRIPLE, "case")
 
 
+def shared_cases(links: DataFrame, min_cases: int = MIN_CASES, light: int | None = None) -> DataFrame:
+    """(member, case): the cases that a member shares with two others who share ``min_cases`` cases with it.
+
+    The same as the distinct members and cases of ``shared_triples``, but no triple of large cases alone is listed.
+    """
+    sized = checkpointed(prune_links(links, MIN_MEMBERS, min_cases))
+    if light is None:
+        light = size_limit(sized)
+    small = sized.where(F.col("size") <= light).select("case", "member")
+    large = sized.where(F.col("size") > light).select("case", "member")
+    no_large = large.isEmpty()
+    if no_large:
+        rows = _light_triples(small, None, min_cases)
+    else:
+        rows = checkpointed(_light_triples(small, large, min_cases))
+        rows = rows.unionByName(_large_cases_of(rows.select(*TRIPLE).distinct(), large))
+    enough = rows.groupBy(*TRIPLE).agg(F.count("*").alias("n")).where(F.col("n") >= min_cases)
+    found = rows.join(enough.select(*TRIPLE), TRIPLE, "left_semi").select(F.explode(F.array(*TRIPLE)).alias("member"), "case")
+    if not no_large:
+        classes = checkpointed(_large_classes(large))
+        sets, chain = _large_sets(large, classes, min_cases)
+        of_class = sets.select("class", F.explode(F.array(*chain)).alias("case")).distinct()
+        found = found.union(of_class.join(classes, "class").select("member", "case"))
+    return found.distinct()
+
+
+def suspects(links: DataFrame, min_cases: int = MIN_CASES, light: int | None = None) -> DataFrame:
+    """(member, cases): members of any triple with ``min_cases`` common cases, and how many cases they share so."""
+    return shared_cases(links, min_cases, light).groupBy("member").agg(F.count("*").alias("cases"))
+
+
 def triple_counts(links: DataFrame, min_cases: int = MIN_CASES, light: int | None = None) -> DataFrame:
     """(m1, m2, m3, n): triples with the number of cases that they share."""
     return shared_triples(links, min_cases, light).groupBy(*TRIPLE).agg(F.count("*").alias("n"))
