@@ -3,8 +3,11 @@
 import datetime as dt
 import os
 import random
+import re
+from collections import Counter
 
 import pytest
+import regex
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
@@ -352,3 +355,39 @@ def test_full_years_of_a_leap_day(spark):
         row.select(dates.full_years("born", F.lit(day).cast("date"))).first()[0] for day in ("2001-02-28", "2001-03-01", "2004-02-29")
     ]
     assert years == [0, 1, 4]
+
+
+def test_sentiment_like_words_taken_apart(spark):
+    """Accents, digits, apostrophes and repeats: the same as splitting at all but letters and digits."""
+    lexicon = sentiment.Lexicon(positive=("gut", "été", "a1"), negative=("schlecht", "no"))
+    texts = [
+        "Gut gut GUT. étéa été; Été!", "no-no no_no nono. a1 a12 1a1 A1", "gut’s gut's\nschlecht...", "...", "", None, "  . \n", "über gut\u0301 e",
+        "gut" * 3 + " " + "gut " * 9,
+    ]
+    def plain(text):
+        if text is None:
+            return None
+        scores = []
+        for sentence in re.split("[.!?\n]+", text.lower()):
+            if sentence.strip(" "):
+                words = regex.split(r"[^\p{L}\p{N}]+", sentence)
+                scores.append(max(0, min(4, 2 + sum((w in lexicon.positive) - (w in lexicon.negative) for w in words))))
+        return sum(scores) / len(scores) if scores else -1.0
+
+    table = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.s for r in table.select("i", sentiment.text_score("t", lexicon).alias("s")).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(texts)}
+    none = table.select(sentiment.text_score("t", sentiment.Lexicon((), ())).alias("s")).where("s > 0 and s != 2").count()
+    assert none == 0
+
+
+def test_ranges_split_a_frequent_value(spark):
+    """A value with a third of the rows lies in several tasks, and the order over all tasks is global."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id")).alias("k"), "id")
+    ranged = layout.range_sorted_evenly(df, ["k"], 12)
+    rows = ranged.withColumn("task", F.spark_partition_id()).collect()
+    assert [r.k for r in rows] == sorted(r.k for r in rows) and len(rows) == 3000
+    sizes = Counter(r.task for r in rows)
+    assert max(sizes.values()) < 700 and len({r.task for r in rows if r.k == 500}) >= 3
+    assert layout.range_placement(ranged, "k").where("not ordered").count() == 0
+    assert layout.range_sorted_evenly(df.limit(0), ["k"], 3).count() == 0

@@ -35,6 +35,17 @@ def range_sorted(t: Tables):
     return layout.range_sorted(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", 8)
 
 
+@query("""
+SELECT o_orderstatus, count(*) AS "rows", count(*) > (SELECT 2 * count(*) / 12 FROM orders) AS several, true AS ordered
+FROM orders GROUP BY o_orderstatus""")
+def range_sorted_ties(t: Tables):
+    """Few values over twelve tasks: each with more rows than two tasks should hold lies in several."""
+    ranged = layout.range_sorted_evenly(t.orders.select("o_orderstatus", "o_orderkey"), ["o_orderstatus"], 12)
+    return layout.range_placement(ranged, "o_orderstatus").select(
+        "o_orderstatus", "rows", (F.col("tasks") > 1).alias("several"), "ordered"
+    )
+
+
 @query("SELECT p_partkey, p_name, CAST(length(p_name) % 4 AS INTEGER) AS placed FROM part")
 def partition_by_length(t: Tables):
     placed = layout.partitioned_by_length(t.part.select("p_partkey", "p_name"), "p_name", 4)

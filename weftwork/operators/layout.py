@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftwork.session import checkpointed
 from weftwork.sources.files import partitions_for
 
 
@@ -22,6 +23,34 @@ def range_sorted(df: DataFrame, key: str, partitions: int | None = None) -> Data
     return ranged.sortWithinPartitions(key)
 
 
+def range_sorted_evenly(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Like ``range_sorted``, but rows of one value may lie in several ranges, so that a frequent value fills no task.
+
+    Borders are sampled over ``order`` and then a hash of the whole row. Only rows that are equal in all columns have to stay
+    together. The hash is the same when a lost task runs again.
+    """
+    tie = "__tie"
+    tied = df.withColumn(tie, F.xxhash64(*df.columns))
+    keys = [*order, tie]
+    ranged = tied.repartitionByRange(partitions, *keys) if partitions else tied.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys).drop(tie)
+
+
+def range_placement(ranged: DataFrame, key: str) -> DataFrame:
+    """(key, rows, tasks, ordered): in how many tasks a value lies, and if no other value lies in the tasks between its first and last."""
+    # Written down, as borders are sampled anew each time that ``ranged`` runs.
+    placed = checkpointed(ranged.groupBy(key, F.spark_partition_id().alias("task")).agg(F.count("*").alias("rows")))
+    values = placed.groupBy(key).agg(
+        F.sum("rows").alias("rows"), F.count("*").alias("tasks"), F.min("task").alias("first"), F.max("task").alias("last")
+    )
+    # Tasks between the first and the last one of a value hold no other value.
+    before = placed.groupBy("task").agg(F.min(key).alias("least"), F.max(key).alias("most"))
+    inside = values.join(before, (F.col("task") > F.col("first")) & (F.col("task") < F.col("last")), "left")
+    return inside.groupBy(key, "rows", "tasks").agg(
+        F.coalesce(F.bool_and((F.col("least") == F.col(key)) & (F.col("most") == F.col(key))), F.lit(True)).alias("ordered")
+    )
+
+
 def hash_partitioned(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     return df.repartition(partitions, *keys)
 
