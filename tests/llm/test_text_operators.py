@@ -1,3 +1,4 @@
+import math
 import zlib
 from collections import Counter
 
@@ -213,6 +214,17 @@ PAGE = """<html><head><title>T</title><script>if (a < b) { x = "<p>no</p>"; }</s
 ARTICLE = "<h1>A &amp; B</h1><p>First  paragraph\n with <b>bold</b> words,<br>and more of them in it.<p>Second&nbsp;paragraph, also of some length.</p>"
 
 
+def test_several_passages_count():
+    """The chance of the r best segments, for the r for which it is least; segments that chance explains add nothing."""
+    model = toxicity.Model(*[np.zeros(0)] * 4, 0.0, 1.0, 1.0, 1.0, 1.0, 0.0)
+    noise = np.log(101.0)
+    plain = {r: 6.0 * r - (r - 1) * np.log(2 * 6.0 * r) + np.log(float(math.factorial(r) * math.factorial(r - 1))) for r in range(1, 6)}
+    for r in range(1, 6):
+        one, more = toxicity.evidence(model, 100, [6.0 + noise] * r + [1.0])
+        assert one == pytest.approx(6.0) and one + more == pytest.approx(max(plain[i] for i in range(1, r + 1)))
+    assert toxicity.evidence(model, 100, []) == (pytest.approx(-noise), 0.0)
+
+
 @pytest.mark.parametrize("wrap", ["<article>{}</article>", "{}", "<div><div>{}</div></div>"])
 def test_html(wrap):
     text = html_text.main_text(PAGE.replace("@", wrap.format(ARTICLE)))

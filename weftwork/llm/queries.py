@@ -35,7 +35,7 @@ def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = _read(spark, folder, "documents")
     model = toxicity.fit(documents, _read(spark, folder, "labels"))
-    return _predicted(toxicity.score(documents, model).select("doc_id", "held_out", "score"))
+    return _predicted(toxicity.score(documents, model))
 
 
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:

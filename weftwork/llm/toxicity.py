@@ -3,8 +3,9 @@
 Each word scores its log-odds of standing in a toxic document, under a Dirichlet prior whose mean comes from all
 words that begin alike, less a standard deviation and a drift. A linear-time scan then finds every maximal segment of
 positive sum. The largest sum of chance segments follows an extreme-value law with parameters lambda and K, which
-turns a sum S in n words into the expected number K n exp(-lambda S) of such segments; its logarithm is calibrated
-to the labels.
+turns a sum S in n words into the expected number K n exp(-lambda S) of such segments. All passages of a document count: the r
+best of them together are as likely by chance as the law of the sum of the r largest says, and the r that is least likely stands for
+the document. The logarithm is calibrated to the labels.
 
 Defined cases: null and empty texts have no segment and get the score of no evidence; every row of ``documents`` gives one
 row, repeated rows too; without labelled rows of both kinds no word scores and all get the share of toxic labels (0 if none).
@@ -12,8 +13,9 @@ row, repeated rows too; without labelled rows of both kinds no word scores and a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,8 @@ class Model:
     unseen: float
     lam: float
     k: float
-    weight: float
+    weight: float  # of the best segment
+    more_weight: float  # of what further segments add
     bias: float
 
 
@@ -135,6 +138,37 @@ def _logit_e(model: Model, n: int, best: float) -> float:
     return model.lam * best - np.log(model.k * n + 1.0)
 
 
+def evidence(model: Model, n: int, sums: list[float]) -> tuple[float, float]:
+    """Minus the logarithm of the chance of the best segment, and what the others add to it.
+
+    That is for the number r of best segments for which the chance is least. The sum T of the r largest normalised sums exceeds t with probability exp(-t) t^(r-1) / (r! (r-1)!); each further segment
+    costs a factor of two, as one of several numbers r was chosen.
+    """
+    normal = sorted((_logit_e(model, n, s) for s in sums), reverse=True)
+    if not normal:
+        return _logit_e(model, n, 0.0), 0.0
+    best, total = normal[0], 0.0
+    for r, value in enumerate(normal, 1):
+        if value <= 0:
+            break
+        total += value
+        best = max(best, total - (r - 1) * math.log(2 * total) + math.lgamma(r + 1) + math.lgamma(r))
+    return normal[0], best - normal[0]
+
+
+def _sample_evidence(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0)
+            for a, b in slices(texts):
+                rows = [evidence(model, n, [s for *_, s in found]) for n, found in _scan(texts[a:b], model)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(1)[a:b], *(pa.array([r[i] for r in rows], pa.float64()) for i in (0, 1))], names=["label", "one", "more"],
+                )
+
+    return run
+
+
 def _sample_stats(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,7 +206,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     all_toxic, all_clean = ones[1].sum(), zeros[1].sum()
     if not all_toxic or not all_clean:
         share = float(all_toxic > 0)
-        return Model(none, empty, none, empty, -DRIFT, 1.0, 1.0, 0.0, 50.0 if share else -50.0)
+        return Model(none, empty, none, empty, -DRIFT, 1.0, 1.0, 0.0, 0.0, 50.0 if share else -50.0)
     base = all_toxic / (all_toxic + all_clean)
     order = np.argsort(stems)
     stems, stem_toxic, stem_clean = stems[order], ones[1][order], zeros[1][order]
@@ -187,7 +221,7 @@ def _calibrated(chosen, words, stem_of, toxic, clean, stems, share, stem_scores,
     scores = _scores_of(toxic, clean, mean, PRIOR, base).astype(np.float32)
     order = np.argsort(words)
     unseen = float(_scores_of(np.zeros(1), np.zeros(1), base, STEM_PRIOR, base)[0])
-    model = Model(words[order], scores[order], stems, stem_scores, unseen, 1.0, 1.0, 1.0, 0.0)
+    model = Model(words[order], scores[order], stems, stem_scores, unseen, 1.0, 1.0, 1.0, 0.0, 0.0)
 
     # lambda: the mean of exp(lambda score) over words of clean documents is one.
     rest = max(0.0, stem_clean.sum() - clean.sum())
@@ -200,9 +234,10 @@ def _calibrated(chosen, words, stem_of, toxic, clean, stems, share, stem_scores,
     label, n, best = stats["label"].to_numpy(), stats["n"].to_numpy(float), stats["best"].to_numpy(float)
     chance = (label == 0) & (n > 0)
     k = float(np.clip(chance.sum() / max(1e-12, (n[chance] * np.exp(-lam * best[chance])).sum()), 1e-9, 1e3))
-    evidence = lam * best - np.log(k * n + 1.0)
-    weight, bias = logistic(evidence[:, None], (label > 0).astype(float))
-    return Model(model.words, model.word_scores, stems, stem_scores, unseen, lam, k, max(0.0, weight), bias)
+    known = replace(model, lam=lam, k=k)
+    found = chosen.mapInArrow(_sample_evidence(known), "label int, one double, more double").toPandas()
+    weights = logistic(found[["one", "more"]].to_numpy(float), (found["label"].to_numpy() > 0).astype(float))
+    return Model(model.words, model.word_scores, stems, stem_scores, unseen, lam, k, max(0.0, weights[0]), max(0.0, weights[1]), weights[2])
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
@@ -222,8 +257,8 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                 part = texts[a:b]
                 result, spans = [], []
                 for row, (n, found) in enumerate(_scan(part, model)):
-                    best = max((s for *_, s in found), default=0.0)
-                    result.append(float(sigmoid(model.weight * _logit_e(model, n, best) + model.bias)))
+                    one, more = evidence(model, n, [s for *_, s in found])
+                    result.append(float(sigmoid(model.weight * one + model.more_weight * more + model.bias)))
                     strong = [x for x in found if _logit_e(model, n, x[2]) > 4.6]
                     raw = part[row].as_py().lower().encode() if strong else b""
                     spans.append([
