@@ -281,19 +281,56 @@ def test_html_deep_and_null(spark):
     assert html_text.extract(table.limit(0)).count() == 0
 
 
+WRAPPED_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of\nthis software and associated documentation files"
+    " (the Software), to deal in the\nSoftware without restriction, including without limitation the rights to use,\n"
+    "copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the\nSoftware, and to permit others to do so."
+)
+
+
 def test_licences(spark, documents, nothing):
     docs = spark.createDataFrame([
         (1, "some words of a story\nLicensed under the Apache License, Version 2.0.\nmore words"), (2, "Released under the MIT License."),
         (3, "He got his driver license in May"), (4, None), (5, ""), (2, "Released under the MIT License."),
         (6, "This work is licensed under the GNU General Public License, version 3."), (7, "the end of the story of the river"),
-    ], "doc_id long, text string")
+        (8, "A title\n \t\n" + WRAPPED_MIT + "\nIt ends here."), (9, "SPDX-License-Identifier: Apache-2.0"), (10, "License: MIT"),
+        (11, "word " * 3000 + "Licensed under CC BY 4.0. " + "word " * 3000), (12, "The boat was granted a license to fish by the port."),
+        (13, "Licensed under the Eclipse Public License, version 2.0."), (None, "Released under the MIT License."),
+        (14, "You must renew your driving license before version 2 of the form is released under the new law."),
+    ], "doc_id long, text string").withColumn("words", F.lit(1)).withColumn("family", F.lit(1))
     model = license.fit(docs)
-    got = sorted((r.doc_id, r.paragraph, r.family) for r in license.scan(docs, model).collect() if r.family != license.UNKNOWN)
-    assert got == [(1, 1, "apache-2.0"), (2, 0, "mit"), (2, 0, "mit"), (6, 0, "gpl")]
+    got = sorted(((r.doc_id or 0, r.paragraph, r.family) for r in license.scan(docs, model).collect()))
+    assert got == [
+        (0, 0, "mit"), (1, 1, "apache-2.0"), (2, 0, "mit"), (2, 0, "mit"), (6, 0, "gpl"), (8, 2, "mit"), (9, 0, "apache-2.0"),
+        (10, 0, "mit"), (11, 0, "cc-by"), (13, 0, license.UNKNOWN),
+    ]
+    assert license.scan(documents, model).count() == 0
     assert license.scan(nothing, model).count() == 0
     assert license.scan(nothing, license.fit(nothing)).count() == 0
 
 
+def test_licence_paragraphs(spark):
+    """Unwrapping against a loop over the lines."""
+    rng = np.random.default_rng(5)
+    parts = ["", " ", "short", "x" * 49 + ".", "y" * 50, "y" * 51, "a long line that goes on " * 3 + "\t", "a long line that ends here " * 3 + "end.", "Ä" * 60 + " \r"]
+    texts = ["\n".join(rng.choice(parts, rng.integers(1, 9))) for _ in range(200)]
+
+    def plain(text):
+        lines = [line.rstrip(" \t\r\f") for line in text.split("\n")[:-1]] + text.split("\n")[-1:]
+        found = []
+        for i, line in enumerate(lines):
+            before = lines[i - 1] if i else ""
+            if len(before) > license.WRAPPED and before[-1] not in ".!?:;" and line.strip():
+                found[-1] += " " + line
+            else:
+                found.append(line)
+        return found
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r.id: r.parts for r in rows.select("id", license._paragraphs(F.col("text")).alias("parts")).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(texts)}
+
+
 def test_trained_operators_defined_cases(documents, nothing, labels):
     for rows in (documents, nothing):
         for known in (labels, labels.limit(0)):

@@ -1,32 +1,43 @@
 """Licence statements in documents: a trained paragraph classifier, confirmed by comparison with templates.
 
 A sparse multinomial logistic regression on word n-grams (single words and pairs) is trained on windows of licence texts and, for
-the class of ordinary text, on other sentences and on a bounded sample of paragraphs of the corpus. A
-paragraph is scored if it holds a word of an n-gram that speaks for some licence: all others cannot be one, as the class of
-ordinary text leads without such an n-gram. A temperature fitted on windows kept apart calibrates the probabilities. A
-paragraph that is a licence but of no family with enough probability, or that is unlike the family's templates, is ``unknown``.
+the class of ordinary text, on other sentences and on whole paragraphs of a bounded sample of different texts of the corpus, cut in
+windows. A paragraph is scored if it holds a word of an n-gram that speaks for some licence; without one it is ordinary by
+definition. A long paragraph is as its most licence-like window.
 
-Defined cases: null and blank texts have no paragraph; paragraphs are lines, numbered from 0; repeated rows give repeated
-results; an empty table gives an empty result. Everything is DataFrame functions and the DataFrame form of the learner.
+The unknown class is calibrated on families held out: the classifier is trained again without a third of the families at a time,
+and a second regression learns from its scores and from likeness to the templates of the families left whether a window is
+ordinary, a licence of a family it does not know (those held out) or one it knows (windows kept apart). A family is named if that is
+likelier than an unknown one and its templates confirm it. Other licences are unknown from the probability on that
+all but a hundredth of the ordinary windows with such a word, held out, stay below.
+
+Defined cases: null and blank texts have no paragraph; paragraphs are lines, numbered from 0, blank ones too, where a line of more
+than ``WRAPPED`` characters that no full stop, colon, semicolon, question or exclamation mark ends goes on in the next line if that
+is not blank; repeated rows give repeated results; an empty table gives an empty result; families with equal scores: the first
+in the order of ``TEMPLATES``. Everything is DataFrame functions and the DataFrame form of the learner.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, replace
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftwork.session import checkpointed
 
-ORDINARY = "none"
+ORDINARY, SENTENCE = "none", "sentence"  # ordinary windows of the corpus, and those of OTHERS
 UNKNOWN = "unknown"
-CONFIDENT = 0.5
 ALIKE = 0.5  # of the pairs of words of the shorter side, those that the other side has too
-SAMPLE = 500  # documents whose paragraphs stand for ordinary text, at most
+SAMPLE = 500  # different texts whose paragraphs stand for ordinary text, at most
+WRAPPED = 50  # characters of a line that may go on in the next
+CHUNK = 48  # words of a window of a long paragraph; windows overlap by half
+FOLDS = 3  # parts of the families, each held out once
+FALSE_UNKNOWN = 0.01  # share of ordinary windows with a cue, held out, that may pass as licences of no known family
 FEATURES = 4096
 COMMON = 0.002  # share of ordinary paragraphs that have a common word
 WINDOWS = (8, 14, 24)
@@ -39,48 +50,56 @@ TEMPLATES = {
         " License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0. Unless required by"
         " applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS,"
         " WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
-        "Licensed under the Apache License, Version 2.0.",
+        "Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0", "License: Apache-2.0",
     ],
     "mit": [
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
         " documentation files, to deal in the Software without restriction, including without limitation the rights to use,"
         " copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.",
-        "Released under the MIT License.", "Licensed under the MIT license.",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE"
+        " WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        "Released under the MIT License.", "Licensed under the MIT license.", "SPDX-License-Identifier: MIT", "License: MIT",
     ],
     "gpl": [
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public"
         " License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later"
         " version.",
         "This work is licensed under the GNU General Public License, version 3.",
-        "Licensed under the GNU General Public License, version 2 or later.",
+        "Licensed under the GNU General Public License, version 2 or later.", "SPDX-License-Identifier: GPL-3.0-or-later",
+        "License: GPLv3", "GPLv3", "GPLv2", "Licensed under the GPL.",
     ],
     "lgpl": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General"
         " Public License as published by the Free Software Foundation.",
-        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "Licensed under the GNU Lesser General Public License, version 2.1.", "SPDX-License-Identifier: LGPL-2.1-only",
+        "License: LGPLv2",
     ],
     "agpl": [
         "Licensed under the GNU Affero General Public License, version 3.",
         "under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: AGPL-3.0-only", "License: AGPLv3",
     ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
         " following conditions are met: Redistributions of source code must retain the above copyright notice, this list of"
         " conditions and the following disclaimer.",
         "Use of this source code is governed by a BSD-style license.", "Distributed under the 3-clause BSD License.",
+        "SPDX-License-Identifier: BSD-3-Clause", "License: BSD",
     ],
     "mpl-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not"
         " distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
-        "Licensed under the Mozilla Public License, version 2.0.",
+        "Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0",
     ],
     "cc-by": [
         "This work is licensed under the Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0.",
         "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike license.",
+        "SPDX-License-Identifier: CC-BY-4.0",
     ],
     "cc-by-nc": [
         "Licensed under CC BY-NC 4.0.", "Licensed under CC BY-NC-ND 4.0.",
         "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
     ],
     "cc0": [
         "This work has been dedicated to the public domain under CC0 1.0 Universal.",
@@ -89,7 +108,7 @@ TEMPLATES = {
     "isc": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
         " granted, provided that the above copyright notice and this permission notice appear in all copies.",
-        "Licensed under the ISC License.",
+        "Licensed under the ISC License.", "SPDX-License-Identifier: ISC",
     ],
     "unlicense": ["This is free and unencumbered software released into the public domain. Released under the Unlicense."],
     "all-rights-reserved": ["All rights reserved.", "Copyright. All rights reserved. No part of this may be reproduced."],
@@ -103,6 +122,33 @@ OTHERS = [
     "The rights of the people were granted by the king.", "A copy of the letter was published in the paper.",
     "The terms of the agreement were discussed in public.", "The source of the river is under the mountain.",
     "Distribute the flour evenly and use without delay.", "Under the bridge, version after version of the tale was told.",
+    "The bar was granted a license to sell wine under the rules of the county.", "Her driving license was renewed before the trip.",
+    "A license is required by law to keep a dog in this town.", "The council released a new version of the form for a marriage license.",
+    "The radio station lost its license under the terms of an order by the court.", "Shops without a license must close by midnight.",
+    "The license of the taxi company was suspended until the end of the year.", "Pilots must renew their license every two years.",
+    "He was granted permission to use the hall free of charge.", "The ministry granted the mine a license for twenty years.",
+    "The bank was licensed by the state under the old law.", "The doctor is licensed to work in two states.",
+    "The new law is distributed to all members, with or without notes.", "Copies of the plan are free and can be had at the office.",
+    "The hotel is provided with water under the terms of the contract.", "The public domain of the city holds parks and rivers.",
+    "Tables are reserved under your name until eight.", "The general told the public that the war was over.",
+    "The foundation published a free guide to software for schools.", "The work of the commons is never done.",
+    "The first version of the bridge was built without a license and fell.", "Any person may copy the recipe and share it.",
+    "A hunting license costs forty dollars and is valid for one season.", "The inn had no license to serve beer in the garden.",
+    "The agreement was signed under the terms that the council had set.", "Rooms are granted to students under the terms of the school.",
+    "The liquor license of the restaurant was granted by the board in March.", "You must show your license before the race.",
+    "The film was released under another title in France.", "The album was released in a second version two years later.",
+    "Food was distributed to the people free of charge.", "The notes were distributed to the class before the test.",
+    "She holds a license as a nurse and a license as a teacher.", "The free program of the theatre is open to the public.",
+    "This program shows how a farmer works the land without a tractor.", "The members of the foundation published their report in June.",
+    "The library is free to use for all persons who live in the city.", "The terms of the loan limit what the bank may charge.",
+    "Warranty repairs are done by the shop where the bicycle was bought.", "The warranty on the washing machine ends after two years.",
+    "All rights of way across the field are shown on the map.", "The copyright case was heard by the court for six days.",
+    "The author gave a copy of the book to the mayor.", "Use the form on the next page and send it to the office.",
+    "The conditions on the mountain were bad and the path was closed.", "The following conditions apply to all guests of the pool.",
+    "He works for the general and lives in a public house.", "The source of the noise was a file that fell from the desk.",
+    "The permission of the owner is needed to cross the land.", "International trains stop at the common border.",
+    "The license plate of the car was found under the seat.", "A new form of the virus was found in version five of the test.",
+    "Changes to the documents are sent to all persons in the group.", "The merchant was granted the right to sell salt by the crown.",
 ]
 
 
@@ -115,6 +161,18 @@ def _grams(words: Column) -> Column:
     return F.array_distinct(F.concat(words, pairs))
 
 
+def _paragraphs(text: Column) -> Column:
+    """Lines of the text, wrapped ones joined."""
+    tidy = F.regexp_replace(text, "(?<![ \\t\\r\\f])[ \\t\\r\\f]++(?=\n)", "")
+    return F.split(F.regexp_replace(tidy, f"\n(?<=[^\n]{{{WRAPPED}}}[^\n.!?:;]\n)(?=[ \\t]*+[^\\s])", " "), "\n")
+
+
+def _chunks(words: Column) -> Column:
+    """Windows of ``CHUNK`` words that overlap by half and cover all words."""
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - CHUNK // 2), F.lit(CHUNK // 2))
+    return F.transform(starts, lambda at: F.slice(words, at, CHUNK))
+
+
 def _templates(spark: SparkSession) -> DataFrame:
     rows = [(family, text) for family, texts in TEMPLATES.items() for text in texts]
     return spark.createDataFrame(rows, "family string, text string").withColumn("words", _words(F.col("text")))
@@ -140,87 +198,160 @@ class Model:
     bias: list[float]  # of each family against ordinary text
     weights: list[tuple]  # (n-gram, weight of each family against ordinary text)
     cues: list[str]
-    temperature: float
+    calibration: list[list[float]]  # bias and weights of EVIDENCE for ordinary, unknown and known
+    cut: float = 0.5  # probability from which a licence is unknown
 
 
-def _similarity(words: Column, template: Column) -> Column:
-    """Share of the shorter side's pairs of words that the longer has too."""
-    def pairs(w: Column) -> Column:
-        return F.array_distinct(F.transform(
-            F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(1))), lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1))))
+EVIDENCE = ["licence", "margin", "alike", "nearest"]
 
-    a, b = pairs(words), pairs(template)
-    return F.size(F.array_intersect(a, b)) / F.greatest(F.lit(1), F.least(F.size(a), F.size(b)))
 
+def _pairs(words: Column) -> Column:
+    """Different pairs of words that follow each other; a single word is a pair by itself."""
+    return F.array_distinct(F.transform(
+        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1))), lambda x, i: F.concat_ws(" ", x, F.get(words, i + 1))))
 
-def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
-    """Train on the templates and on paragraphs of the ``sample`` documents with the smallest hash of their text."""
-    spark = documents.sparkSession
-    templates = _templates(spark)
-    texts = checkpointed(
-        documents.where(F.col("text").isNotNull()).select("text").orderBy(F.xxhash64("text"), F.length("text")).limit(sample)
+
+def _template_pairs(text: str) -> list[str]:
+    """``_pairs`` of a template, as a constant."""
+    words = re.findall(r"[^\W_]+", text.lower())
+    return list(dict.fromkeys(" ".join(p) for p in zip(words, words[1:]))) or words
+
+
+def _all_pairs(families: list[str]) -> list[str]:
+    return sorted({pair for family in families for text in TEMPLATES[family] for pair in _template_pairs(text)})
+
+
+def _likeness(pairs: Column, families: list[str]) -> Column:
+    """(family, likeness) for each template of the families: the share of the shorter side's pairs that the longer has too."""
+    templates = F.array(*[
+        F.struct(F.lit(family).alias("family"), F.lit(_template_pairs(text)).alias("pairs")) for family in families for text in TEMPLATES[family]
+    ])
+    return F.transform(templates, lambda t: F.struct(
+        t["family"].alias("family"),
+        (F.size(F.array_intersect(pairs, t["pairs"])) / F.greatest(F.lit(1), F.least(F.size(pairs), F.size(t["pairs"])))).alias("likeness"),
+    ))
+
+
+def _evidence(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
+    """``keys`` of the rows with the best family and ``EVIDENCE``. Rows have ``words`` and ``grams``.
+
+    ``licence``: log-odds of some licence against ordinary text; ``margin``: log-odds of the best family against the
+    others; ``alike`` and ``nearest``: likeness to the templates of that family and of any.
+    """
+    names = F.array(*[F.lit(f) for f in model.families])
+    best = F.array_max("logits")
+
+    def log_sum(of: Column) -> Column:
+        return best + F.log(F.aggregate(of, F.lit(1e-9), lambda a, x: a + F.exp(x - best)))
+
+    place = F.array_position("logits", best).cast("int")
+    others = F.concat(F.slice("logits", F.lit(1), place - 1), F.slice("logits", place + 1, F.lit(len(model.families))))
+    scored = _logits(rows.withColumn("pairs", _pairs(F.col("words"))), model, [*keys, "pairs"]).select(
+        *keys, F.get(names, place - 1).alias("family"), "pairs",
+        log_sum(F.col("logits")).alias("licence"), (best - log_sum(others)).alias("margin"),
     )
-    paragraphs = (
-        texts.select(F.explode(F.split("text", "\n")).alias("text")).select(F.slice(_words(F.col("text")), 1, 40).alias("words"))
-        .where(F.size("words") > 0).distinct()
+    near = scored.withColumn("near", _likeness(F.col("pairs"), model.families))
+    own = F.array_max(F.transform(F.filter("near", lambda t: t["family"] == F.col("family")), lambda t: t["likeness"]))
+    return near.select(
+        *keys, "family", *[F.least(F.greatest(F.col(c), F.lit(-25.0)), F.lit(25.0)).alias(c) for c in EVIDENCE[:2]],
+        own.alias("alike"), F.array_max(F.transform("near", lambda t: t["likeness"])).alias("nearest"),
     )
-    # A paragraph of which half is worded as in some template is no ordinary text.
-    pairs = F.filter(_grams(F.col("words")), lambda g: F.instr(g, " ") > 0)
-    known = templates.select(F.explode(pairs).alias("pair")).distinct().withColumn("known", F.lit(1))
-    plain = (
-        paragraphs.select("words", F.explode_outer(pairs).alias("pair")).join(F.broadcast(known), "pair", "left")
-        .groupBy("words").agg(F.avg(F.coalesce("known", F.lit(0))).alias("share"))
-        .where(F.col("share") < ALIKE).select(F.lit(ORDINARY).alias("family"), "words")
+
+
+def _ordinary(documents: DataFrame, sample: int) -> DataFrame:
+    """Windows of all paragraphs of the ``sample`` different texts of smallest hash, without those worded like a template.
+
+    The hashes are at most ``sample`` rows, which bounds the broadcast; copies are taken once.
+    """
+    hashed = documents.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("hash"), "text")
+    chosen = hashed.select("hash").distinct().orderBy("hash").limit(sample)
+    texts = hashed.join(F.broadcast(chosen), "hash").groupBy("hash").agg(F.min("text").alias("text"))
+    words = texts.select(F.explode(_paragraphs(F.col("text"))).alias("text")).select(_words(F.col("text")).alias("words"))
+    windows = words.where(F.size("words") > 0).select(F.explode(_chunks(F.col("words"))).alias("words")).distinct()
+    known = F.lit(_all_pairs(list(TEMPLATES)))
+    pairs = _pairs(F.col("words"))
+    plain = F.size(F.array_intersect(pairs, known)) < ALIKE * F.size(pairs)
+    return windows.where(plain).select(F.lit(ORDINARY).alias("family"), "words")
+
+
+def _classifier(rows: DataFrame, families: list[str], vocabulary: list[str], steps: int) -> Model:
+    """The regression on rows (family, features) of ``families`` and of ordinary text, not yet calibrated.
+
+    Rows of other families are left out.
+    """
+    of_family = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family"))
+    used = rows.where(F.col("family").isin(ORDINARY, SENTENCE, *families)).withColumn("label", of_family.cast("double"))
+    licences, ordinary = (used.where(w).count() for w in (F.col("label") > 0, F.col("family") == ORDINARY))
+    share = min(1.0, 4 * licences / max(1, ordinary))
+    learner = LogisticRegression(
+        family="multinomial", regParam=PENALTY, elasticNetParam=LASSO_SHARE, maxIter=steps, weightCol="weight", standardization=False,
     )
-    plain = checkpointed(plain)
-    # Words that many ordinary paragraphs have; an n-gram of such words alone is no feature.
+    # Windows of the corpus together weigh four times as much as those of licences at most.
+    model = learner.fit(used.withColumn("weight", F.when(F.col("family") == ORDINARY, share).otherwise(1.0)))
+    matrix, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    against = matrix[1:] - matrix[:1]
+    weights = [(gram, *[float(x) for x in against[:, i]]) for i, gram in enumerate(vocabulary) if abs(against[:, i]).max() > 1e-9]
+    return Model(families, [float(x) for x in bias[1:] - bias[0]], weights, [], [])
+
+
+def _calibrate(rows: DataFrame, vocabulary: list[str], cues: list[str]) -> tuple[list[list[float]], float]:
+    """Bias and weights of ``EVIDENCE`` for ordinary, unknown and known, from models that lack a part of the families.
+
+    With them the probability that all but ``FALSE_UNKNOWN`` of the ordinary windows have of being unknown at most.
+
+    Each window is judged by a model that has not seen it. Ordinary windows without a cue are never judged, nor are they here.
+    """
+    seen = None
+    for fold in range(FOLDS):
+        families = [f for i, f in enumerate(TEMPLATES) if i % FOLDS != fold]
+        apart = F.pmod(F.xxhash64("grams"), F.lit(FOLDS)) == fold
+        model = _classifier(rows.where(~apart), families, vocabulary, 30)
+        ordinary, known = F.col("family").isin(ORDINARY, SENTENCE), F.col("family").isin(families)
+        part = rows.where((apart | ~(ordinary | known)) & (~ordinary | F.arrays_overlap("words", F.lit(cues))))
+        part = part.withColumn("label", F.when(ordinary, 0.0).when(known, 2.0).otherwise(1.0)).select("label", "words", "grams")
+        part = _evidence(part, model, ["label"])
+        seen = part if seen is None else seen.unionByName(part)
+    seen = checkpointed(seen)
+    counts = {r["label"]: r["count"] for r in seen.groupBy("label").count().collect()}
+    even = (counts.get(1.0, 0) + counts.get(2.0, 0)) / max(1, counts.get(0.0, 0))
+    balance = F.when(F.col("label") == 0, even)
+    learner = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=100, weightCol="weight")
+    table = VectorAssembler(inputCols=EVIDENCE, outputCol="features").transform(seen.withColumn("weight", balance.otherwise(1.0)))
+    model = learner.fit(table)
+    weights = [[float(b), *map(float, w)] for b, w in zip(model.interceptVector.toArray(), model.coefficientMatrix.toArray())]
+    unknown = F.get(vector_to_array("probability"), F.lit(1))
+    cut = model.transform(table).where(F.col("label") == 0).agg(F.percentile(unknown, F.lit(1 - FALSE_UNKNOWN)).alias("cut")).first()["cut"]
+    return weights, max(0.5, cut or 0.0)
+
+
+def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
+    """Train on the templates, on ``OTHERS`` and on paragraphs of the ``sample`` different texts with the smallest hash."""
+    spark = documents.sparkSession
+    templates = _templates(spark)
+    plain = checkpointed(_ordinary(documents, sample))
+    # Words that many ordinary windows have; an n-gram of such words alone is no feature.
     seen = plain.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     common = [r["word"] for r in seen.where(F.col("n") >= max(2, COMMON * plain.count())).select("word").collect()]
     others = spark.createDataFrame([(t,) for t in OTHERS], "text string").select(
-        F.lit(ORDINARY).alias("family"), _words(F.col("text")).alias("words")
+        F.lit(SENTENCE).alias("family"), _words(F.col("text")).alias("words")
     )
-    families = [ORDINARY, *TEMPLATES]
-    of_family = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")) - 1
-    rows = (
-        _windows(templates.select("family", "words")).unionByName(_windows(others)).unionByName(plain)
-        .select(of_family.cast("double").alias("label"), _grams(F.col("words")).alias("grams")).distinct()
-        .withColumn("weight", F.when(F.col("label") == 0, 0.2).otherwise(1.0))
-        .withColumn("apart", (F.col("label") > 0) & (F.pmod(F.xxhash64("grams"), F.lit(5)) == 0))
-        .repartition(4, "grams").cache()
+    rows = checkpointed(
+        _windows(templates.select("family", "words")).unionByName(others).unionByName(plain)
+        .distinct().withColumn("grams", _grams(F.col("words"))).repartition(4, "grams")
     )
-    vectoriser = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=FEATURES, binary=True)
     told = F.filter("grams", lambda g: ~F.forall(F.split(g, " "), lambda w: w.isin(common))) if common else F.col("grams")
-    vectoriser = vectoriser.fit(rows.where(F.col("label") > 0).withColumn("grams", told))
-    learner = LogisticRegression(
-        family="multinomial", regParam=PENALTY, elasticNetParam=LASSO_SHARE, maxIter=60, weightCol="weight", standardization=False,
-    )
-    model = learner.fit(vectoriser.transform(rows.where(~F.col("apart"))))
-    matrix, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
-    # Classes that no training row has are left out of the matrix from the end only; all families have windows.
-    against = matrix[1:] - matrix[:1]
-    weights = [
-        (gram, *[float(x) for x in against[:, i]]) for i, gram in enumerate(vectoriser.vocabulary) if abs(against[:, i]).max() > 1e-9
-    ]
-    cues = sorted({max((w for w in g.split(" ") if w not in common), key=len) for g, *w in weights if max(w) > 0})
-    first = Model(families[1:], [float(x) for x in bias[1:] - bias[0]], weights, cues, 1.0)
-    kept = _logits(rows.where("apart").select(F.col("label").cast("int").alias("label"), "grams"), first, ["label", "grams"])
-    logits = [(r["label"], list(r["logits"])) for r in kept.collect()]
+    vectoriser = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=FEATURES, binary=True)
+    vectoriser = vectoriser.fit(rows.where(~F.col("family").isin(ORDINARY, SENTENCE)).withColumn("grams", told))
+    rows = vectoriser.transform(rows).cache()
+    model = _classifier(rows, list(TEMPLATES), vectoriser.vocabulary, 60)
+    cues = sorted({max((w for w in g.split(" ") if w not in common), key=len) for g, *w in model.weights if max(w) > 0})
+    calibration, cut = _calibrate(rows, vectoriser.vocabulary, cues)
     rows.unpersist()
-
-    def loss(t: float) -> float:
-        total = 0.0
-        for label, values in logits:
-            scaled = [0.0, *[v / t for v in values]]
-            top = max(scaled)
-            total += top + math.log(sum(math.exp(s - top) for s in scaled)) - scaled[label]
-        return total
-
-    grid = [0.25 * 1.15**i for i in range(25)]
-    return Model(first.families, first.bias, weights, cues, min(grid, key=loss) if logits else 1.0)
+    return replace(model, cues=cues, calibration=calibration, cut=cut)
 
 
 def _logits(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
-    """``rows`` with the logits of their distinct ``grams``: one for each family, against ordinary text.
+    """``keys`` of the rows with the logits of their ``grams``: one for each family, against ordinary text.
 
     The weights are at most ``FEATURES`` rows, which bounds the broadcast.
     """
@@ -236,35 +367,45 @@ def _logits(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     return rows.withColumn("id", F.xxhash64("grams")).join(sums, "id", "left").select(*keys, logits.alias("logits"))
 
 
+def _cue_pattern(cues: list[str]) -> str:
+    """The cues as whole words, by first letter, so that a word meets the cues of its letter only."""
+    letters: dict[str, list[str]] = {}
+    for cue in cues:
+        letters.setdefault(cue[0], []).append(cue[1:])
+    return "(?<![\\p{L}\\p{N}])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in letters.items()) + ")(?![\\p{L}\\p{N}])"
+
+
 def scan(documents: DataFrame, model: Model) -> DataFrame:
-    """Rows (doc_id, paragraph, family, probability, similarity) of the paragraphs that state a licence."""
-    spark = documents.sparkSession
-    cue = "\\b(?:" + "|".join(model.cues) + ")\\b"
+    """Rows (doc_id, paragraph, family, probability, similarity) of the paragraphs that state a licence.
+
+    ``similarity`` is that of the classifier's family or, for ``unknown``, of the nearest template of any.
+    """
+    if not model.cues:
+        return documents.limit(0).select(
+            "doc_id", F.lit(0).alias("paragraph"), F.lit("").alias("family"), F.lit(0.0).alias("probability"), F.lit(0.0).alias("similarity"))
+    cue = _cue_pattern(model.cues)
     stated = checkpointed(
         documents.where(F.lower("text").rlike(cue))
-        .select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "content"))
+        .select("doc_id", F.posexplode(_paragraphs(F.col("text"))).alias("paragraph", "content"))
         .where(F.lower("content").rlike(cue))
     )
-    # Each different paragraph is classified once.
-    words = _words(F.col("content"))
-    distinct = stated.select("content").distinct().withColumn("words", words).withColumn("grams", _grams(F.col("words")))
-    scored = _logits(distinct, model, ["content", "words"])
-    scaled = F.transform("logits", lambda x: x / model.temperature)
-    best = F.array_max("scaled")
-    top = F.greatest(best, F.lit(0.0))
-    total = F.exp(-top) + F.aggregate("scaled", F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    names = F.array(*[F.lit(f) for f in model.families])
-    judged = (
-        scored.withColumn("scaled", scaled)
-        .withColumn("probability", F.exp(best - top) / total).withColumn("ordinary", F.exp(-top) / total)
-        .withColumn("family", F.get(names, (F.array_position("scaled", best) - 1).cast("int")))
-        .where(F.col("ordinary") < 0.5).select("content", "words", "family", "probability")
-    )
-    templates = _templates(spark).select("family", F.col("words").alias("template"))
-    compared = (
-        judged.join(F.broadcast(templates), "family")
-        .groupBy("content", "family", "probability").agg(F.max(_similarity(F.col("words"), F.col("template"))).alias("similarity"))
+    # Each different paragraph is classified once, each different window of them too.
+    distinct = stated.select("content").distinct().withColumn("words", _words(F.col("content")))
+    windows = distinct.select("content", F.explode(_chunks(F.col("words"))).alias("words")).withColumn("grams", _grams(F.col("words")))
+    found = _evidence(windows, model, ["content"])
+    of_class = [row[0] + sum((F.col(c) * w for c, w in zip(EVIDENCE, row[1:])), F.lit(0.0)) for row in model.calibration]
+    scored = found.withColumn("scores", F.array(*of_class)).withColumn("top", F.array_max("scores"))
+    shares = F.transform("scores", lambda x: F.exp(x - F.col("top")))
+    shares = scored.withColumn("raised", shares).withColumn("total", F.aggregate("raised", F.lit(0.0), lambda a, x: a + x))
+    ordinary, unknown, known = (F.get("raised", F.lit(i)) / F.col("total") for i in range(3))
+    named = (known >= unknown) & (F.col("alike") >= ALIKE)
+    judged = shares.select(
+        "content", F.struct(
+            (F.when(named, known > ordinary).otherwise(unknown + known >= model.cut)).alias("stated"), named.alias("named"), (1 - ordinary).alias("licence"), F.when(named, F.col("family")).otherwise(UNKNOWN).alias("family"),
+            F.when(named, known / (1 + F.exp(-F.col("margin")))).otherwise(unknown + known).alias("probability"),
+            F.when(named, F.col("alike")).otherwise(F.col("nearest")).alias("similarity"),
+        ).alias("best"),
     )
-    sure = (F.col("probability") >= CONFIDENT) & (F.col("similarity") >= ALIKE)
-    named = compared.withColumn("family", F.when(sure, F.col("family")).otherwise(UNKNOWN))
-    return stated.join(named, "content").select("doc_id", "paragraph", "family", "probability", "similarity")
+    # A paragraph is as its named window, the most certain one, or as its most licence-like one.
+    best = judged.groupBy("content").agg(F.max("best").alias("best")).where("best.stated")
+    return stated.join(best, "content").select("doc_id", "paragraph", "best.family", "best.probability", "best.similarity")
