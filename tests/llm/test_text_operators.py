@@ -342,3 +342,37 @@ def test_trained_operators_defined_cases(documents, nothing, labels):
         assert packing.pack(rows).agg(F.count_distinct("doc_id").alias("n")).first().n == rows.select("doc_id").distinct().where("doc_id is not null").count()
     und = {r.doc_id: r.lang_pred for r in langid.predict(documents, langid.fit(documents)).collect()}
     assert und[3] == und[4] == und[5] == und[10] == "und" and und[9] in ("de", "en")
+
+
+def test_licence_windows_grow_with_the_length_of_a_paragraph(spark, monkeypatch):
+    model = license.Model(["mit"], [0.0], [("permission", 1.5), ("sell copies", 0.5)], ["permission"], [[0.0] * 5] * 3)
+    text = "permission " + "word other " * 4_000 + "sell copies"
+    seen, evidence = [], license._evidence
+    monkeypatch.setattr(license, "_evidence", lambda rows, *more: (seen.append(rows), evidence(rows, *more))[1])
+    license.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).collect()
+    rows = seen[0]
+    held = [F.length(c) for c, kind in rows.dtypes if kind == "string"]
+    assert rows.agg(F.sum(sum(held, F.lit(0)))).first()[0] <= 4 * len(text)
+    known = rows.select(license._weighed("grams", model).alias("x")).where(F.size("x") > 0)
+    assert sorted(r.x for r in known.collect()) == [["permission"], ["sell copies"]]
+    logits = license._logits(rows, model, ["key"]).collect()
+    assert sorted({r.logits[0] for r in logits}) == [0.0, 0.5, 1.5]
+
+
+def test_licence_learners_pass_over_few_partitions(spark, monkeypatch):
+    seen = []
+
+    class Short(license.LogisticRegression):
+        def fit(self, dataset, params=None):
+            seen.append(dataset.rdd.getNumPartitions())
+            return self.setMaxIter(1)._fit(dataset)
+
+    monkeypatch.setattr(license, "LogisticRegression", Short)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        license.fit(spark.createDataFrame([(1, "You may sell copies of the book without a license.")], "doc_id long, text string"))
+    finally:
+        spark.conf.set(key, before)
+    assert len(seen) == 2 + license.FOLDS and max(seen) <= 4

@@ -39,6 +39,7 @@ CHUNK = 48  # words of a window of a long paragraph; windows overlap by half
 FOLDS = 3  # parts of the families, each held out once
 FALSE_UNKNOWN = 0.01  # share of ordinary windows with a cue, held out, that may pass as licences of no known family
 FEATURES = 4096
+PARTS = 4  # partitions of the training rows, whose number is bounded: the learners pass over them hundreds of times
 COMMON = 0.002  # share of ordinary paragraphs that have a common word
 WINDOWS = (8, 14, 24)
 PENALTY, LASSO_SHARE = 2e-4, 0.5
@@ -311,7 +312,7 @@ def _calibrate(rows: DataFrame, vocabulary: list[str], cues: list[str]) -> tuple
         part = part.withColumn("label", F.when(ordinary, 0.0).when(known, 2.0).otherwise(1.0)).select("label", "words", "grams")
         part = _evidence(part, model, ["label"])
         seen = part if seen is None else seen.unionByName(part)
-    seen = checkpointed(seen)
+    seen = checkpointed(seen.repartition(PARTS))
     counts = {r["label"]: r["count"] for r in seen.groupBy("label").count().collect()}
     even = (counts.get(1.0, 0) + counts.get(2.0, 0)) / max(1, counts.get(0.0, 0))
     balance = F.when(F.col("label") == 0, even)
@@ -337,7 +338,7 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
     )
     rows = checkpointed(
         _windows(templates.select("family", "words")).unionByName(others).unionByName(plain)
-        .distinct().withColumn("grams", _grams(F.col("words"))).repartition(4, "grams")
+        .distinct().withColumn("grams", _grams(F.col("words"))).repartition(PARTS)
     )
     told = F.filter("grams", lambda g: ~F.forall(F.split(g, " "), lambda w: w.isin(common))) if common else F.col("grams")
     vectoriser = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=FEATURES, binary=True)
@@ -350,21 +351,29 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
     return replace(model, cues=cues, calibration=calibration, cut=cut)
 
 
+def _weighed(grams: str, model: Model) -> Column:
+    """The n-grams that have a weight, in order."""
+    known = [gram for gram, *_ in model.weights]
+    return F.sort_array(F.filter(grams, lambda g: g.isin(known)))
+
+
 def _logits(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     """``keys`` of the rows with the logits of their ``grams``: one for each family, against ordinary text.
 
-    The weights are at most ``FEATURES`` rows, which bounds the broadcast.
+    Only n-grams with a weight are looked up, and each different set of them once. The weights are at most ``FEATURES``
+    rows, which bounds the broadcast.
     """
     columns = [f"w{i}" for i in range(len(model.families))]
     table = rows.sparkSession.createDataFrame(
         model.weights or [("", *[0.0] * len(columns))], "gram string, " + ", ".join(f"{c} double" for c in columns)
     )
+    rows = rows.withColumn("weighed", _weighed("grams", model)).withColumn("id", F.xxhash64("weighed"))
     sums = (
-        rows.select("grams").distinct().select(F.xxhash64("grams").alias("id"), F.explode("grams").alias("gram"))
+        rows.select("id", "weighed").distinct().select("id", F.explode("weighed").alias("gram"))
         .join(F.broadcast(table), "gram").groupBy("id").agg(*[F.sum(c).alias(c) for c in columns])
     )
     logits = F.array(*[F.coalesce(F.col(c), F.lit(0.0)) + b for c, b in zip(columns, model.bias)])
-    return rows.withColumn("id", F.xxhash64("grams")).join(sums, "id", "left").select(*keys, logits.alias("logits"))
+    return rows.join(sums, "id", "left").select(*keys, logits.alias("logits"))
 
 
 def _cue_pattern(cues: list[str]) -> str:
@@ -375,6 +384,15 @@ def _cue_pattern(cues: list[str]) -> str:
     return "(?<![\\p{L}\\p{N}])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in letters.items()) + ")(?![\\p{L}\\p{N}])"
 
 
+def _windows_of(stated: DataFrame) -> DataFrame:
+    """Rows (key, words, grams): the windows of each different paragraph of rows (key, content).
+
+    They hold the key alone of their paragraph, or the rows of a long one would grow with the square of its length.
+    """
+    distinct = stated.select("key", "content").dropDuplicates(["key"]).select("key", _words(F.col("content")).alias("words"))
+    return distinct.select("key", F.explode(_chunks(F.col("words"))).alias("words")).withColumn("grams", _grams(F.col("words")))
+
+
 def scan(documents: DataFrame, model: Model) -> DataFrame:
     """Rows (doc_id, paragraph, family, probability, similarity) of the paragraphs that state a licence.
 
@@ -387,12 +405,9 @@ def scan(documents: DataFrame, model: Model) -> DataFrame:
     stated = checkpointed(
         documents.where(F.lower("text").rlike(cue))
         .select("doc_id", F.posexplode(_paragraphs(F.col("text"))).alias("paragraph", "content"))
-        .where(F.lower("content").rlike(cue))
+        .where(F.lower("content").rlike(cue)).withColumn("key", F.sha2("content", 256))
     )
-    # Each different paragraph is classified once, each different window of them too.
-    distinct = stated.select("content").distinct().withColumn("words", _words(F.col("content")))
-    windows = distinct.select("content", F.explode(_chunks(F.col("words"))).alias("words")).withColumn("grams", _grams(F.col("words")))
-    found = _evidence(windows, model, ["content"])
+    found = _evidence(_windows_of(stated), model, ["key"])
     of_class = [row[0] + sum((F.col(c) * w for c, w in zip(EVIDENCE, row[1:])), F.lit(0.0)) for row in model.calibration]
     scored = found.withColumn("scores", F.array(*of_class)).withColumn("top", F.array_max("scores"))
     shares = F.transform("scores", lambda x: F.exp(x - F.col("top")))
@@ -400,12 +415,12 @@ def scan(documents: DataFrame, model: Model) -> DataFrame:
     ordinary, unknown, known = (F.get("raised", F.lit(i)) / F.col("total") for i in range(3))
     named = (known >= unknown) & (F.col("alike") >= ALIKE)
     judged = shares.select(
-        "content", F.struct(
+        "key", F.struct(
             (F.when(named, known > ordinary).otherwise(unknown + known >= model.cut)).alias("stated"), named.alias("named"), (1 - ordinary).alias("licence"), F.when(named, F.col("family")).otherwise(UNKNOWN).alias("family"),
             F.when(named, known / (1 + F.exp(-F.col("margin")))).otherwise(unknown + known).alias("probability"),
             F.when(named, F.col("alike")).otherwise(F.col("nearest")).alias("similarity"),
         ).alias("best"),
     )
     # A paragraph is as its named window, the most certain one, or as its most licence-like one.
-    best = judged.groupBy("content").agg(F.max("best").alias("best")).where("best.stated")
-    return stated.join(best, "content").select("doc_id", "paragraph", "best.family", "best.probability", "best.similarity")
+    best = judged.groupBy("key").agg(F.max("best").alias("best")).where("best.stated")
+    return stated.join(best, "key").select("doc_id", "paragraph", "best.family", "best.probability", "best.similarity")
