@@ -1,6 +1,7 @@
 """Graph operators on golden data and against brute force."""
 
 import itertools
+import re
 from collections import defaultdict
 
 import pytest
@@ -209,6 +210,21 @@ def test_gangs_with_hot_case(spark):
     assert {tuple(r) for r in found} == {(2, 4, 6, c) for c in (0, 1, 2, 3)}
 
 
+@pytest.mark.parametrize("light", [None, 3])
+def test_tasks_of_triples_grow_with_their_number(spark, monkeypatch, light):
+    """Each task lists and counts about as many triples, whatever the session's number of partitions."""
+    monkeypatch.setattr(gangs, "PART_ROWS", 10, raising=False)
+    cases = {c: {c, c + 1, c + 2, 70, 71, 72} if c % 2 else {c, 70, 71} for c in range(24)}
+    triples = gangs.triple_counts(links_table(spark, cases), light=light)
+    expected = {(*t, len(c)) for t, c in brute_triples(cases, 3).items()}
+    assert {tuple(r) for r in triples.collect()} == expected
+    plan = triples._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(m1\S+ m2\S+ m3\S+ (\d+)\), REPARTITION_BY_NUM", plan)
+    assert dealt and min(map(int, dealt)) >= sum(n for *_, n in expected) / 10 > 1
+    suspects = gangs.shared_cases(links_table(spark, cases), light=light).collect()
+    assert {tuple(r) for r in suspects} == {(m, c) for t, cs in brute_triples(cases, 3).items() for c in cs for m in t}
+
+
 def test_size_limit_splits_off_the_hot_case(spark):
     """A case with most members is large; a member in most cases does not make its cases large."""
     hot_case = [(m, 1000) for m in range(1000)] + [(m % 1000, 4) for m in range(400)]

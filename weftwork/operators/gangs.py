@@ -13,6 +13,9 @@ All triples of a case with n members are n^3 / 6 rows, so triples are never list
   together are fewest. One case with a third of all links is large; one member in a third of
   all cases is only ever a member of light ones, unless these are large as well.
 
+Pairs and triples are many more than the links they come from, and a task counts the different ones it meets, so they are
+dealt by their number over as many partitions as keep ``PART_ROWS`` in each, whatever the session's number of partitions is.
+
 Every triple over the limit is found, whatever the sizes are and wherever the line is drawn.
 
 ``suspects`` names the members of such triples and their cases without listing triples of large cases: a set of
@@ -32,6 +35,7 @@ TRIPLE = ["m1", "m2", "m3"]
 # Three people in three cases.
 MIN_MEMBERS = 3
 MIN_CASES = 3
+PART_ROWS = 500_000  # pairs or triples that a task lists or counts
 
 
 def prune_links(links: DataFrame, min_members: int = MIN_MEMBERS, min_cases: int = MIN_CASES) -> DataFrame:
@@ -46,13 +50,27 @@ def prune_links(links: DataFrame, min_members: int = MIN_MEMBERS, min_cases: int
     return links.join(members, "member", "left_semi").select("case", "member", "size")
 
 
-def _light_triples(light: DataFrame, large: DataFrame | None, min_cases: int) -> DataFrame:
-    """(case, m1, m2, m3) of light cases, for triples with two pairs that can reach ``min_cases``."""
-    a, b = light.alias("a"), light.alias("b")
+def _parts(rows: int) -> int:
+    return max(1, -(-rows // PART_ROWS))
+
+
+def _listed(links: DataFrame, choose: int) -> int:
+    """How many sets of ``choose`` members the cases of the links (case, member) have: sums of binomials."""
+    n = F.col("n")
+    sets = n * (n - 1) / 2 if choose == 2 else n * (n - 1) * (n - 2) / 6
+    sizes = links.groupBy("case").agg(F.count("*").alias("n"))
+    return int(sizes.agg(F.sum(sets)).first()[0] or 0)
+
+
+def _light_triples(light: DataFrame, large: DataFrame | None, min_cases: int) -> tuple[DataFrame, int]:
+    """(case, m1, m2, m3) of light cases, for triples with two pairs that can reach ``min_cases``; and ``_parts`` of them."""
+    parts = _parts(_listed(light, 2))
+    dealt = light.repartition(parts, "case")
+    a, b = dealt.alias("a"), dealt.alias("b")
     pairs = a.join(b, (F.col("a.case") == F.col("b.case")) & (F.col("a.member") < F.col("b.member"))).select(
         "a.case", F.col("a.member").alias("m1"), F.col("b.member").alias("m2")
     )
-    counts = pairs.groupBy("m1", "m2").agg(F.count("*").alias("n"))
+    counts = pairs.repartition(parts, "m1", "m2").groupBy("m1", "m2").agg(F.count("*").alias("n"))
     if large is None:
         able = counts.where(F.col("n") >= min_cases)
     else:
@@ -64,9 +82,19 @@ def _light_triples(light: DataFrame, large: DataFrame | None, min_cases: int) ->
             .where((F.col("n") >= min_cases) | (F.col("d1").isNotNull() & F.col("d2").isNotNull()))
         )
     kept = checkpointed(pairs.join(able.select("m1", "m2"), ["m1", "m2"], "left_semi").select("case", "m1", "m2"))
-    x, y = kept.alias("x"), kept.alias("y")
+    starts = kept.groupBy("case", "m1").agg(F.count("*").alias("n"))
+    parts = _parts(int(starts.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0))
+    dealt = kept.repartition(parts, "case", "m1")
+    x, y = dealt.alias("x"), dealt.alias("y")
     same = (F.col("x.case") == F.col("y.case")) & (F.col("x.m1") == F.col("y.m1")) & (F.col("x.m2") < F.col("y.m2"))
-    return x.join(y, same).select("x.case", "x.m1", "x.m2", F.col("y.m2").alias("m3"))
+    return x.join(y, same).select("x.case", "x.m1", "x.m2", F.col("y.m2").alias("m3")), parts
+
+
+def _frequent(rows: DataFrame, min_cases: int, parts: int) -> DataFrame:
+    """The rows (case, m1, m2, m3) of triples with at least ``min_cases`` of them."""
+    rows = rows.repartition(parts, *TRIPLE)
+    enough = rows.groupBy(*TRIPLE).agg(F.count("*").alias("n")).where(F.col("n") >= min_cases)
+    return rows.join(enough.select(*TRIPLE), TRIPLE, "left_semi")
 
 
 def _large_classes(large: DataFrame) -> DataFrame:
@@ -159,13 +187,13 @@ def shared_triples(links: DataFrame, min_cases: int = MIN_CASES, light: int | No
     small = sized.where(F.col("size") <= light).select("case", "member")
     large = sized.where(F.col("size") > light).select("case", "member")
     if large.isEmpty():
-        rows = _light_triples(small, None, min_cases)
+        rows, parts = _light_triples(small, None, min_cases)
     else:
-        found = checkpointed(_light_triples(small, large, min_cases))
+        found = checkpointed(_light_triples(small, large, min_cases)[0])
         candidates = found.select(*TRIPLE).union(_large_only_triples(large, min_cases)).distinct()
         rows = found.unionByName(_large_cases_of(candidates, large))
-    enough = rows.groupBy(*TRIPLE).agg(F.count("*").alias("n")).where(F.col("n") >= min_cases)
-    return rows.join(enough.select(*TRIPLE), TRIPLE, "left_semi").select(*TRIPLE, "case")
+        parts = _parts(rows.count())
+    return _frequent(rows, min_cases, parts).select(*TRIPLE, "case")
 
 
 def shared_cases(links: DataFrame, min_cases: int = MIN_CASES, light: int | None = None) -> DataFrame:
@@ -180,12 +208,12 @@ def shared_cases(links: DataFrame, min_cases: int = MIN_CASES, light: int | None
     large = sized.where(F.col("size") > light).select("case", "member")
     no_large = large.isEmpty()
     if no_large:
-        rows = _light_triples(small, None, min_cases)
+        rows, parts = _light_triples(small, None, min_cases)
     else:
-        rows = checkpointed(_light_triples(small, large, min_cases))
+        rows = checkpointed(_light_triples(small, large, min_cases)[0])
         rows = rows.unionByName(_large_cases_of(rows.select(*TRIPLE).distinct(), large))
-    enough = rows.groupBy(*TRIPLE).agg(F.count("*").alias("n")).where(F.col("n") >= min_cases)
-    found = rows.join(enough.select(*TRIPLE), TRIPLE, "left_semi").select(F.explode(F.array(*TRIPLE)).alias("member"), "case")
+        parts = _parts(rows.count())
+    found = _frequent(rows, min_cases, parts).select(F.explode(F.array(*TRIPLE)).alias("member"), "case")
     if not no_large:
         classes = checkpointed(_large_classes(large))
         sets, chain = _large_sets(large, classes, min_cases)
