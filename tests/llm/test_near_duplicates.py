@@ -132,6 +132,24 @@ def test_line_dedup_short_lines(spark, tmp_path):
     assert got == {1: [3], 2: [0], 3: [0, 4], 4: []}
 
 
+def test_line_dedup_makes_tokens_of_candidates_only(spark, monkeypatch):
+    """Lines that share a run but pass no filter are not fetched again."""
+    sizes, written = {}, line_dedup._Tables.written
+
+    def counted(self, rows, label):
+        table = written(self, rows, label)
+        sizes[label] = table.count()
+        return table
+
+    monkeypatch.setattr(line_dedup._Tables, "written", counted)
+    rows = []
+    for doc in range(60):
+        words = [f"w{doc}x{i}" for i in range(30)]
+        rows.append((doc, " ".join(words[:5]) + "\n" + " ".join(words)))
+    assert sum(r.n_removed for r in line_dedup.summary(spark.createDataFrame(rows, "doc_id long, text string"), True).collect()) == 0
+    assert sizes["members"] > 0 and sizes["tokens"] == 0
+
+
 def vectors(seed):
     draw = np.random.default_rng(seed)
     centres = draw.standard_normal((30, 24))
