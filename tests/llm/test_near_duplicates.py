@@ -73,6 +73,18 @@ def test_links_against_all_pairs(spark, chunk):
     assert roots(signed, edges) == roots(signed, want)
 
 
+@pytest.mark.parametrize("chunk", [4096, 16])
+def test_wide_links_against_all_pairs(spark, chunk):
+    prints = near_prints(6, 400)
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    rows = spark.createDataFrame([(p,) for p in signed], "print long")
+    wide = {"blocks": simhash.WIDE_BLOCKS, "counters": 3}
+    want = {(signed[i], signed[j]) for i in range(len(prints)) for j in range(len(prints)) if i != j and (prints[i] ^ prints[j]).bit_count() <= 7}
+    assert roots(signed, [(r.high, r.low) for r in simhash.links(rows, chunk, **wide).collect()]) == roots(signed, want)
+    least = {(r.high, r.low) for r in simhash.links(rows, chunk, **wide, shrink=simhash.least_partners).collect()}
+    assert least <= want and {(a, min(b for x, b in want if x == a)) for a in signed if any(x == a and b < a for x, b in want)} <= least
+
+
 def test_near_duplicates_defined_cases(documents, nothing):
     got = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(documents).collect()}
     assert {(1, 1), (2, 1), (3, 3), (4, 3), (5, 3), (6, 6)} <= got

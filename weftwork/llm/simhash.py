@@ -5,7 +5,7 @@ one class. Classes that differ in at most three bits agree in two of five blocks
 is put into ten groups, one for each pair of blocks, and groups are compared within themselves. There the remaining
 bits are stored as vertical planes, one machine word for a bit of 64 classes; the distances of all classes to the class
 d places further on are counted at once with carry-save counters of two bits and an overflow bit, and words whose lanes
-are all beyond the radius are left out of the later planes.
+are all beyond the radius are left out of the later planes. With more blocks and a counter of three bits (``WIDE_BLOCKS``) the radius is seven.
 
 Defined cases: a text with fewer words than a shingle is one shingle; null, empty and blank texts have fingerprint zero, which is
 compared like any other; every row gives one row, repeated rows too.
@@ -30,6 +30,7 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 BLOCKS = ((0, 13), (13, 26), (26, 39), (39, 52), (52, 64))  # bits [from, to)
+WIDE_BLOCKS = tuple((7 * i, 7 * i + 7) for i in range(8)) + ((56, 64),)  # prints that differ in seven bits agree in two of these
 CHUNK = 4096  # classes of a group that are compared by one task; larger groups are split into pairs of chunks
 _SHINGLES_AT_ONCE = 1 << 17
 
@@ -52,6 +53,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * totals > count).tobytes(), "big")
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of these 64-bit hashes."""
+    totals = np.zeros(64, np.int64)
+    for i in range(0, len(hashes), _SHINGLES_AT_ONCE):
+        raw = hashes[i:i + _SHINGLES_AT_ONCE].astype(">u8").view(np.uint8).reshape(-1, 8)
+        totals += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int32)
+    return int.from_bytes(np.packbits(2 * totals > len(hashes)).tobytes(), "big")
+
+
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Rows (doc_id, print): the 64 bits of the fingerprint as a long."""
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -74,27 +84,26 @@ def _planes(prints: np.ndarray, bits: list[int]) -> np.ndarray:
     ])
 
 
-def near_at(planes: np.ndarray, shift: int, lanes: int) -> np.ndarray:
-    """Lanes below ``lanes`` whose distance to the lane ``shift`` further on is at most the radius."""
+def near_at(planes: np.ndarray, shift: int, lanes: int, counters: int = 2) -> np.ndarray:
+    """Lanes below ``lanes`` whose distance to the lane ``shift`` further on is at most the radius, all that ``counters`` bits count."""
     words = -(-lanes // 64)
     skip, rest = shift // 64, np.uint64(shift % 64)
     alive = np.arange(words)
-    ones, twos, over = np.zeros((3, words), np.uint64)
+    counts, over = np.zeros((counters, words), np.uint64), np.zeros(words, np.uint64)
     last = planes.shape[1] - 1
     for b, plane in enumerate(planes):
         low = plane[np.minimum(alive + skip, last)]
         if rest:
             high = plane[np.minimum(alive + skip + 1, last)]
             low = (low >> rest) | (high << (np.uint64(64) - rest))
-        differ = plane[alive] ^ low
-        carry = ones & differ
-        ones = ones ^ differ
-        over = over | (twos & carry)
-        twos = twos ^ carry
+        carry = plane[alive] ^ low
+        for i in range(counters):
+            counts[i], carry = counts[i] ^ carry, counts[i] & carry
+        over = over | carry
         if b % 6 == 5:
             keep = over != np.uint64(0xFFFFFFFFFFFFFFFF)
             if not keep.all():
-                alive, ones, twos, over = alive[keep], ones[keep], twos[keep], over[keep]
+                alive, counts, over = alive[keep], counts[:, keep], over[keep]
                 if not len(alive):
                     return alive
     within = np.unpackbits((~over).view(np.uint8), bitorder="little").reshape(-1, 64)
@@ -103,8 +112,16 @@ def near_at(planes: np.ndarray, shift: int, lanes: int) -> np.ndarray:
     return lane[lane < lanes]
 
 
-def linked(keys: np.ndarray, prints: np.ndarray, bits: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Stars (class, least class) of the links within groups of equal key; all groups at once.
+def least_partners(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of these links, for each vertex that to the least of the smaller ones."""
+    high, low = np.maximum(a, b), np.minimum(a, b)
+    order = np.lexsort((low, high))
+    high, at = np.unique(high[order], return_index=True)
+    return high, low[order][at]
+
+
+def linked(keys: np.ndarray, prints: np.ndarray, bits: list[int], counters: int = 2, shrink=local_roots) -> tuple[np.ndarray, np.ndarray]:
+    """Stars (class, least class) of the links within groups of equal key, or what ``shrink`` leaves of them; all groups at once.
 
     Groups lie by falling size, so that those with a class ``shift`` further on are the first lanes.
     """
@@ -127,49 +144,48 @@ def linked(keys: np.ndarray, prints: np.ndarray, bits: list[int]) -> tuple[np.nd
     for shift in range(1, int(sizes[0])):
         groups = int(np.searchsorted(falling, -shift, side="left"))
         lanes = int(ends[groups - 1])
-        at = near_at(planes, shift, lanes)
+        at = near_at(planes, shift, lanes, counters)
         at = at[at + shift < len(group)]
         at = at[group[at] == group[at + shift]]
         a.append(prints[at])
         b.append(prints[at + shift])
         gathered += len(at)
         if gathered > 1_000_000:  # keep a spanning forest of what was found
-            x, y = local_roots(np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64))
+            x, y = shrink(np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64))
             a, b, gathered = [x.view(np.uint64)], [y.view(np.uint64)], len(x)
-    return local_roots(np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64))
-
+    return shrink(np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64))
 
-_TABLES = list(combinations(range(len(BLOCKS)), 2))
 
-
-def _compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    tab, part, prints = (c.to_numpy() for c in rows.columns)
-    for table in np.unique(tab):
-        mine = tab == table
-        fixed = {b for i in _TABLES[table] for b in range(*BLOCKS[i])}
-        vertex, root = linked(part[mine], prints[mine].view(np.uint64), [b for b in range(64) if b not in fixed])
-        keep = vertex != root
-        yield pa.RecordBatch.from_arrays([pa.array(vertex[keep]), pa.array(root[keep])], names=["high", "low"])
-
-
-def links(classes: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def links(classes: DataFrame, chunk: int = CHUNK, blocks: tuple = BLOCKS, counters: int = 2, shrink=local_roots) -> DataFrame:
     """Edges (high, low) that connect all classes within the radius of each other; not every pair of them.
 
-    ``classes`` holds distinct values of ``print``.
+    ``classes`` holds distinct values of ``print``. The radius is what ``counters`` bits count, and two less than the number of ``blocks``.
+    With ``least_partners`` for ``shrink`` the edges are links themselves, and may connect less.
     """
+    tables = list(combinations(range(len(blocks)), 2))
+
+    def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        tab, part, prints = (c.to_numpy() for c in rows.columns)
+        for table in np.unique(tab):
+            mine = tab == table
+            fixed = {b for i in tables[table] for b in range(*blocks[i])}
+            vertex, root = linked(part[mine], prints[mine].view(np.uint64), [b for b in range(64) if b not in fixed], counters, shrink)
+            keep = vertex != root
+            yield pa.RecordBatch.from_arrays([pa.array(vertex[keep]), pa.array(root[keep])], names=["high", "low"])
+
     def block(i: int):
-        low, high = BLOCKS[i]
+        low, high = blocks[i]
         return F.shiftrightunsigned("print", low).bitwiseAND(F.lit((1 << (high - low)) - 1))
 
     keys = F.array(*[
         F.struct(F.lit(t).alias("tab"), (F.shiftleft(block(i), 13).bitwiseOR(block(j))).alias("key"))
-        for t, (i, j) in enumerate(_TABLES)
+        for t, (i, j) in enumerate(tables)
     ])
     placed = classes.select("print", F.inline(keys))
     parts = in_chunk_pairs(placed, ["tab", "key"], "print", chunk).select("tab", "part", "print")
     return (
         parts.repartition("tab", "part").sortWithinPartitions("tab", "part")
-        .mapInArrow(by_whole_groups(100_000, 2, _compare), "high long, low long")
+        .mapInArrow(by_whole_groups(100_000, 2, compare), "high long, low long")
     )
 
 
