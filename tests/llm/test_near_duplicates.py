@@ -162,6 +162,19 @@ def test_line_dedup_makes_tokens_of_candidates_only(spark, monkeypatch):
     assert sizes["members"] > 0 and sizes["tokens"] == 0
 
 
+@pytest.mark.parametrize("copies, first", [(5, False), (40, True)])
+def test_line_dedup_compares_only_large_groups_with_their_earliest_first(spark, monkeypatch, copies, first):
+    labels, written = [], line_dedup._Tables.written
+    monkeypatch.setattr(line_dedup._Tables, "written", lambda self, rows, label: labels.append(label) or written(self, rows, label))
+    words = [f"w{i}" for i in range(60)]
+    rows = [(0, " ".join(words))] + [(doc, " ".join(words[:-2] + [f"x{doc}", f"y{doc}"])) for doc in range(1, copies)]
+    rows += [(100, " ".join(words[:-8] + ["z"] * 4)), (101, "\n".join(["none of these words is in them"] * 2))]
+    got = line_dedup.summary(spark.createDataFrame(rows, "doc_id long, text string"), True).collect()
+    want = plain_removed(rows)
+    assert {r.doc_id: set(r.removed) for r in got} == {doc: want.get(doc, set()) for doc, _ in rows} and len(want) >= copies
+    assert ("near-earliest" in labels) is first
+
+
 def vectors(seed):
     draw = np.random.default_rng(seed)
     centres = draw.standard_normal((30, 24))
