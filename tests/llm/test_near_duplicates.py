@@ -1,9 +1,11 @@
+import math
 import random
 from collections import defaultdict
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from weftwork.llm import components, embed_dedup, line_dedup, queries, simhash
 
@@ -175,6 +177,27 @@ def test_line_dedup_compares_only_large_groups_with_their_earliest_first(spark,
     assert ("near-earliest" in labels) is first
 
 
+def test_line_dedup_orders_only_prefixes_with_common_tokens(spark, monkeypatch):
+    """Copies of a line are counted once; a prefix is that of the order by rank and hash, and common tokens come last in it."""
+    monkeypatch.setattr(line_dedup, "ORDER_PARTS", 1)
+    shared = " ".join(f"s{i}" for i in range(12))
+    rows = [(doc, f"{shared} " + " ".join(f"w{doc}x{i}" for i in range(30))) for doc in range(20)]
+    rows += [(100 + doc, " ".join(f"c{i}" for i in range(20)) + (" end" if doc == 9 else "")) for doc in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ranks = docs.select(line_dedup._rarity(docs, True, 5).alias("ranks")).first().ranks
+    assert sum(r > 0 for r in ranks) == 8 and max(ranks) == int(3 * math.log2(20))
+    lines = docs.select(F.col("text").alias("content"), "doc_id")
+    found = line_dedup._with_tokens(lines, True, 5, line_dedup._rarity(docs, True, 5)).collect()
+    for r in found:
+        kept = len(r.tokens) - math.ceil(0.8 * len(r.tokens) - 1e-9) + 1
+        best = sorted(r.tokens, key=lambda x: (ranks[x & (line_dedup.BUCKETS - 1)], x))
+        assert r.tokens[:kept] == best[:kept] and len(set(r.tokens)) == len(r.tokens)
+    assert any(r.tokens != sorted(r.tokens) for r in found) and any(r.tokens == sorted(r.tokens) for r in found)
+    got = {r.doc_id: set(r.removed) for r in line_dedup.summary(docs, True).collect()}
+    want = plain_removed(rows)
+    assert got == {doc: want.get(doc, set()) for doc, _ in rows} and len(want) == 9
+
+
 def vectors(seed):
     draw = np.random.default_rng(seed)
     centres = draw.standard_normal((30, 24))
